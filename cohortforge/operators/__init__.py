@@ -7,7 +7,12 @@ from cohortforge.operators.events import (
 )
 from cohortforge.operators.keys import dense_key
 from cohortforge.operators.ledger import count_groups, count_stage, ledger
-from cohortforge.operators.lookup import broadcast_if_small, code_map, decode
+from cohortforge.operators.lookup import (
+    broadcast_if_small,
+    code_map,
+    decode,
+    outer_join_details,
+)
 from cohortforge.operators.merge import flag_exists, merge_flags, upsert
 from cohortforge.operators.privacy import check_private, deidentify
 from cohortforge.operators.profile import mask_small, panel_stats, profile
@@ -31,6 +36,7 @@ __all__ = [
     "ledger",
     "mask_small",
     "merge_flags",
+    "outer_join_details",
     "panel_stats",
     "profile",
     "review_list",

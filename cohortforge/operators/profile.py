@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,18 +23,52 @@ def profile(df: DataFrame, group: str, dims: dict[str, str], distinct_on: str) -
 def panel_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Mean, interpolated median and mode (smallest of ties) per group.
 
-    Equal values are counted first, so the last step holds one entry per distinct
-    value of a group instead of one per row.
+    Equal values are counted first; no step holds all values of a group.
     """
     counted = df.groupBy(group, value).agg(F.count("*").alias("_n"))
     known = F.col(value).isNotNull()
     weight = F.when(known, F.col("_n"))
     commonest = F.when(known, F.struct(F.col("_n"), -F.col(value)))
-    return counted.groupBy(group).agg(
+    stats = counted.groupBy(group).agg(
         (F.sum(F.col(value) * F.col("_n")) / F.sum(weight)).alias("avg_value"),
-        F.percentile(value, 0.5, F.col("_n")).alias("median_value"),
         F.max_by(value, commonest).alias("mode_value"),
     )
+    median = counted_median(counted.where(known), group, value, "_n")
+    return stats.join(median, group, "left").select(
+        group, "avg_value", "median_value", "mode_value"
+    )
+
+
+def counted_median(
+    counted: DataFrame, group: str, value: str, n: str, slices: int = 1024
+) -> DataFrame:
+    """Exact median per group of values with their counts.
+
+    Each group's range is cut into slices. Slice totals (at most slices + 1 per
+    group) show which slice holds the middle ranks, and only its values are ranked.
+    """
+    spans = counted.groupBy(group).agg(
+        F.min(value).alias("_low"), F.max(value).alias("_high"), F.sum(n).alias("_total")
+    )
+    width = F.col("_high") - F.col("_low")
+    place = F.floor((F.col(value) - F.col("_low")) / width * slices)
+    sliced = counted.join(spans, group).withColumn("_slice", F.when(width > 0, place).otherwise(0))
+
+    lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
+    sums = sliced.groupBy(group, "_slice").agg(
+        F.sum(n).alias("_inside"), F.first("_total").alias("_total")
+    )
+    upto = F.sum("_inside").over(Window.partitionBy(group).orderBy("_slice"))
+    middle = (
+        sums.withColumn("_before", upto - F.col("_inside"))
+        .where((F.col("_before") < upper) & (F.col("_before") + F.col("_inside") >= lower))
+        .select(group, "_slice", "_before")
+    )
+    rank = F.sum(n).over(Window.partitionBy(group, "_slice").orderBy(value)) + F.col("_before")
+    ranked = sliced.join(middle, [group, "_slice"]).withColumn("_rank", rank)
+    at_lower = F.min(F.when(F.col("_rank") >= lower, F.col(value)))
+    at_upper = F.min(F.when(F.col("_rank") >= upper, F.col(value)))
+    return ranked.groupBy(group).agg(((at_lower + at_upper) / 2).alias("median_value"))
 
 
 def mask_small(df: DataFrame, column: str, floor: int = 10) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions import harmonize_numeric, in_window, resolve_medication
-from cohortforge.operators import apply_selection, decode, review_list
+from cohortforge.operators import apply_selection, decode, outer_join_details, review_list
 from cohortforge.plans.cohort import RESULT_COLUMNS
 from cohortforge.study import Study, stage
 
@@ -37,8 +37,7 @@ def all_medications(s: Study) -> DataFrame:
     )
     frequency = s.src("ip_frequency").select(F.col("freq_id").alias("hv_discr_freq_id"), "freq_name")
     df = (
-        orders.join(info, "order_med_id", "left")
-        .join(given, "order_med_id", "left")
+        outer_join_details(orders.join(info, "order_med_id", "left"), given, "order_med_id")
         .join(routes, "route_c", "left")
         .join(frequency, "hv_discr_freq_id", "left")
     )

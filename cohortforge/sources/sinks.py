@@ -31,7 +31,7 @@ class StageStore:
         """Write a stage and return it read back: later plans start from the files."""
         df.write.mode("overwrite").parquet(self.path(name))
         self.written.append(name)
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def release(self) -> list[str]:
         """Delete the stages this run wrote, and nothing else."""

@@ -189,7 +189,7 @@ select cast(o_custkey as string) as pat_id, o_orderkey as pat_enc_csn_id, o_orde
   case when o_orderstatus = 'F' then o_orderdate + interval 80 hour end as hosp_dischrg_time,
   case when o_orderpriority = '3-MEDIUM' then null else o_orderkey % 7 end as visit_fc,
   nullif(o_orderpriority, '5-LOW') as enc_type_c,
-  o_orderkey % 30 as department_id,
+  o_orderkey % 120 as department_id,
   cast(o_orderkey % 120 as string) as visit_prov_id,
   o_orderkey % 5 as appt_status_c,
   cast(o_custkey % 120 as string) as pcp_prov_id,
@@ -223,17 +223,17 @@ from {orders} where o_orderstatus <> 'P'"""
 # --- places, providers ----------------------------------------------------
 
 VIEWS["lz_clarity_dept"] = """
-select cast(n_nationkey as bigint) as department_id, 'Dept ' || n_name as department_name,
-  'Specialty ' || cast(n_regionkey as string) as specialty,
-  case when n_regionkey in (1, 3) then 1 else 0 end as primary_care
-from {nation}"""
+select s_suppkey as department_id, 'Dept ' || s_name as department_name,
+  'Specialty ' || cast(s_nationkey as string) as specialty,
+  case when s_nationkey < 12 then 1 else 0 end as primary_care
+from {supplier}"""
 
 VIEWS["clarity_dep"] = """
-select cast(n_nationkey as bigint) as department_id, 'Dept ' || n_name as department_name,
-  'Specialty ' || cast(n_regionkey as string) as specialty,
-  'D' || cast(n_nationkey as string) as dept_abbreviation,
-  cast(n_regionkey + 1 as bigint) as rev_loc_id
-from {nation}"""
+select s_suppkey as department_id, 'Dept ' || s_name as department_name,
+  'Specialty ' || cast(s_nationkey as string) as specialty,
+  'D' || cast(s_suppkey as string) as dept_abbreviation,
+  cast(s_nationkey % 7 as bigint) as rev_loc_id
+from {supplier}"""
 
 VIEWS["clarity_loc"] = """
 select cast(r_regionkey as bigint) as loc_id, r_name as loc_name from {region}"""
@@ -356,15 +356,12 @@ select cast(n_nationkey + 100 as bigint) as record_id, 'L-' || cast(n_nationkey
 from {nation}"""
 
 VIEWS["lab_rule_list"] = """
-select case when n_nationkey <= 5 then 'L-' || cast(n_nationkey as string) else null end as loinc,
-  'Panel ' || cast(n_nationkey as string) as proc_description,
-  'Component ' || cast(n_nationkey as string) as component_name,
-  case n_nationkey when 0 then '2' when 1 then '1A' when 2 then '1B' when 3 then '1C' when 4 then '1D'
-    when 5 then '1' else '2' end as step
-from {nation}
-union all
-select 'L-0' as loinc, 'Repeat ' || r_name as proc_description, r_name as component_name, '2' as step
-from {region}"""
+select case when p_size % 25 <= 5 then 'L-' || cast(p_size % 25 as string) else null end as loinc,
+  'Panel ' || p_name as proc_description,
+  'Component ' || cast(p_size % 25 as string) as component_name,
+  case p_size % 25 when 0 then '2' when 1 then '1A' when 2 then '1B' when 3 then '1C' when 4 then '1D'
+    when 5 then '1' when 6 then null else '2' end as step
+from {part}"""
 
 VIEWS["lab_selection_list"] = """
 select p_partkey as proc_id, 'Order ' || cast(p_partkey as string) as description,
@@ -465,21 +462,26 @@ select l_orderkey * 10 + l_linenumber as order_med_id, cast(o_custkey as string)
   l_orderkey as pat_enc_csn_id,
   o_orderdate + interval 8 hour as order_inst,
   o_orderdate as order_start_time,
-  l_shipdate as order_end_time,
-  case when l_discount = 0.0 then 800001 when l_tax = 0.08 then null else l_partkey end as medication_id,
-  l_suppkey as user_sel_med_id,
-  l_quantity as hv_discrete_dose, l_quantity * 2 as med_dis_disp_qty,
+  shipped as order_end_time,
+  case when discount = 0.0 then 800001 when tax = 0.0 then null else partkey end as medication_id,
+  suppkey as user_sel_med_id,
+  quantity as hv_discrete_dose, quantity * 2 as med_dis_disp_qty,
   'Take ' || cast(l_linenumber as string) as sig,
-  cast(cast(l_quantity as int) as string) as quantity, cast(l_linenumber as string) as refills,
+  cast(cast(quantity as int) as string) as quantity, cast(l_linenumber as string) as refills,
   cast(l_linenumber as string) as hv_discr_freq_id,
   cast(l_linenumber as bigint) as hv_dose_unit_c,
   cast(l_linenumber + 1 as bigint) as order_status_c,
   cast(l_linenumber - 1 as bigint) as ordering_mode_c,
   cast(l_linenumber - 2 as bigint) as med_dis_disp_unit_c,
   cast(l_linenumber as bigint) as order_class_c,
-  case when l_returnflag = 'N' then null else o_orderdate end as ordering_date,
-  case when l_linestatus = 'O' then null else o_orderdate end as start_date
-from {lineitem} join {orders} on l_orderkey = o_orderkey"""
+  case when flag = 'N' then null else o_orderdate end as ordering_date,
+  case when status = 'O' then null else o_orderdate end as start_date
+from (
+  select l_orderkey, l_linenumber, min(l_partkey) as partkey, min(l_suppkey) as suppkey,
+    max(l_shipdate) as shipped, min(l_discount) as discount, max(l_tax) as tax,
+    max(l_quantity) as quantity, max(l_returnflag) as flag, max(l_linestatus) as status
+  from {lineitem} group by l_orderkey, l_linenumber) lines
+join {orders} on l_orderkey = o_orderkey"""
 
 VIEWS["order_medinfo"] = """
 select l_orderkey * 10 + l_linenumber as order_med_id,
@@ -542,7 +544,7 @@ select event_id, cast(user_id as string) as pat_id, event_id as pat_enc_csn_id,
   cast(case event_type when 'signup' then 1 when 'purchase' then 3 when 'view' then 1 when 'click' then 3
     else 4 end as bigint) as event_type_c,
   case when event_type = 'view' then null else event_id + 1 end as next_out_event_id,
-  user_id % 30 as department_id,
+  user_id % 120 as department_id,
   ts - interval 8720 day as effective_time,
   cast(case when value > 50 then 2 else 1 end as bigint) as event_subtype_c
 from {events}"""
