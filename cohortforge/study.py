@@ -17,6 +17,8 @@ NOTES: dict[str, str] = {}
 
 # Read by many later stages, so written once when the study has a store.
 REUSED = (
+    "first_dx_date",
+    "rule_positive_events",
     "cohort",
     "patient_table",
     "encounters",
@@ -27,6 +29,7 @@ REUSED = (
     "problem_list",
     "order_procedures",
     "providers",
+    "qa_ledger",
 )
 
 
