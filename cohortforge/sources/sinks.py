@@ -24,23 +24,21 @@ class StageStore:
         self.root = f"{folder.rstrip('/')}/run-{uuid.uuid4().hex}"
         self.written: list[str] = []
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write a stage and return it read back: later plans start from the files."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        self.written.append(name)
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        path = f"{self.root}/{len(self.written):03d}-{name}"
+        df.write.parquet(path)
+        self.written.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> list[str]:
         """Delete the stages this run wrote, and nothing else."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         dropped = []
-        for name in self.written:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        for written in self.written:
+            path = jvm.org.apache.hadoop.fs.Path(written)
             if path.getFileSystem(conf).delete(path, True):
-                dropped.append(name)
+                dropped.append(written)
         self.written = []
         return dropped
