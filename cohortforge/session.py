@@ -16,6 +16,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # the JVM never compiles a method over 8000 bytes; wide stages with many result
+    # patterns would exceed that and stay interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

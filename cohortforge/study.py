@@ -22,6 +22,10 @@ REUSED = (
     "cohort",
     "patient_table",
     "encounters",
+    "dx_primary",
+    "dx_add_secondary",
+    "dx_upsert_admit",
+    "dx_upsert_final_primary",
     "diagnosis_fact",
     "procedure_fact",
     "all_medications",
