@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortforge.llm.bpe import round_trip_digests
 from cohortforge.llm.near_dedup import near_duplicates
+from cohortforge.llm.quality import classify
 from cohortforge.session import configure
 
 QUERIES = {}
@@ -17,9 +20,25 @@ def query(function):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
+    # texts are long: small batches keep what a Python worker holds at once bounded
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document for quality, and whether its label was held out."""
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document encoded and decoded."""
+    return round_trip_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets reach a similarity of 0.75."""
