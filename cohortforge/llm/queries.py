@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortforge.llm.bpe import round_trip_digests
+from cohortforge.llm.decontaminate import contaminated
 from cohortforge.llm.near_dedup import near_duplicates
 from cohortforge.llm.quality import classify
 from cohortforge.session import configure
@@ -39,6 +40,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, copied or edited."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets reach a similarity of 0.75."""

@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -70,3 +71,27 @@ def text_slices(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[i
         stop = max(start + 1, int(np.searchsorted(ends, base + most_bytes, "right")))
         yield start, stop
         start, base = stop, int(ends[stop - 1])
+
+
+BITS = 1 << 22
+
+
+def bitmap(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
+    """A set of 64-bit integers as `bits` bits, with one hash: half a megabyte, whatever `df` holds.
+
+    It may hold more than `df` does, so what passes it is joined exactly afterwards.
+    """
+    place = F.col(column).bitwiseAND(bits - 1)
+    words = df.where(F.col(column).isNotNull()).groupBy(F.shiftright(place, 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))")).alias("held")
+    )
+    out = np.zeros(bits // 64, np.int64)
+    for row in words.collect():  # at most bits / 64 rows
+        out[row["word"]] = row["held"]
+    return out.view(np.uint64)
+
+
+def may_hold(held: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether each 64-bit integer may be in the bitmap."""
+    place = values.view(np.uint64) & np.uint64(len(held) * 64 - 1)
+    return (held[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
