@@ -187,3 +187,14 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids (binary), n_tokens and exact: whether the ids decode to the very text."""
+    both = encode(docs.select("doc_id", "text"), path, decoded=True)
+    return both.select(
+        "doc_id",
+        "ids",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
+    )

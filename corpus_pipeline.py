@@ -2,20 +2,51 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortforge.llm.bpe import round_trip
+from cohortforge.llm.decontaminate import drop_contaminated
 from cohortforge.llm.near_dedup import keep_one
+from cohortforge.llm.pii import redact
+from cohortforge.llm.quality import keep_good
 from cohortforge.llm.shared import staged
 from cohortforge.session import configure
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one of the least doc_id."""
     return keep_one(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, copied or edited, go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind; every document stays."""
+    return redact(docs)
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids and counts of the final texts, and whether the ids decode to the text."""
+    return round_trip(docs, TOKENIZER)
+
+
 STAGES = [
+    ("quality", quality),
     ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("pii", pii),
+    ("bpe", bpe),
 ]
 
 ORACLE_SQL = None  # classifiers and models have no SQL; tests compare the stages with brute force
@@ -24,6 +55,7 @@ ORACLE_SQL = None  # classifiers and models have no SQL; tests compare the stage
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to `documents`, each from the Parquet files of the one before."""
     configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)
