@@ -16,7 +16,7 @@ import regex
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECES = regex.compile(PATTERN)
 ODD_SPACE = re.compile(r"[^\S \n]")
-KEPT = 200_000  # chunks remembered a generation
+KEPT = 300_000  # chunks remembered a generation
 
 
 def cut(text: str) -> list[str]:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortforge.llm.bpe import round_trip_digests
 from cohortforge.llm.decontaminate import contaminated
+from cohortforge.llm.grammar import write_and_read
 from cohortforge.llm.near_dedup import near_duplicates
 from cohortforge.llm.pii import report
 from cohortforge.llm.quality import classify
@@ -41,6 +42,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_grammar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, read back from Re-Pair grammar files."""
+    return write_and_read(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item, copied or edited."""
