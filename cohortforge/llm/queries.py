@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortforge.llm.bpe import round_trip_digests
 from cohortforge.llm.decontaminate import contaminated
 from cohortforge.llm.grammar import write_and_read
+from cohortforge.llm.language import identify
 from cohortforge.llm.near_dedup import near_duplicates
 from cohortforge.llm.pii import report
 from cohortforge.llm.quality import classify
@@ -62,6 +63,12 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a byte convolutional network."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans and what the trained classifier adds."""
