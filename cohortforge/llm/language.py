@@ -22,7 +22,7 @@ LENGTH = 256  # bytes of a window; the last one of a text is padded
 WIDTHS = (2, 3, 4)
 FILTERS = 16  # of each width
 EMBEDDING = 8
-BATCH = 512  # windows scored at once
+BATCH = 64  # windows scored at once; their answers fit a core's cache
 
 FIT_ROWS = 300  # rows a language that the network is fitted on
 FIT_WINDOWS = 4  # windows of each, spread over its text

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortforge.llm import chat
 from cohortforge.llm.bpe import round_trip_digests
 from cohortforge.llm.decontaminate import contaminated
 from cohortforge.llm.grammar import write_and_read
@@ -57,6 +58,17 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, written and read back, with one that holds control strings."""
+    trap = spark.sql(
+        "select * from values (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), "
+        "(-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') as t(conv_id, turn, role, text)"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(turns.unionByName(trap))
+
+
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets reach a similarity of 0.75."""
@@ -75,4 +87,34 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    # the template below is the operator's default one
+    "op5_chat": """
+        with turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+            from conversations
+            union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+            union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), placed as (
+            select *, row_number() over (partition by conv_id order by turn, role, text) as k,
+                lag(role) over (partition by conv_id order by turn, role, text) as before,
+                length(role) + length(text) + 3 * (length(text) - length(replace(text, '<', '')))
+                    + 4 * (length(text) - length(replace(text, '&', '')))
+                    + 4 * (length(text) - length(replace(text, '[', ''))) + 16 as chars,
+            from turns
+        ), whole as (
+            select conv_id, count(*) as n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as lines,
+                coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as loss,
+                sum(chars)::bigint as formatted_chars,
+                bool_and(case role when 'system' then before is null
+                    when 'user' then before is null or before in ('system', 'assistant')
+                    when 'assistant' then before is not distinct from 'user' else false end)
+                    and max_by(role, k) = 'assistant' as valid
+            from placed group by conv_id
+        )
+        select conv_id, n_turns, sha256(lines) as turns_sha256, length(loss) as loss_chars,
+            sha256(loss) as loss_sha256, formatted_chars, valid
+        from whole
+    """,
+}
