@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortforge.llm import chat
+from cohortforge.llm import chat, warc
 from cohortforge.llm.bpe import round_trip_digests
 from cohortforge.llm.decontaminate import contaminated
 from cohortforge.llm.grammar import write_and_read
@@ -81,6 +81,12 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, indexed and read back through the capture index."""
+    return warc.write_and_read(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans and what the trained classifier adds."""
@@ -88,6 +94,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL: dict[str, str] = {
+    "op9_warc": """
+        with digests as (
+            select page_id, strlen(coalesce(html, '')) as payload_bytes,
+                sha1(coalesce(html, '')) as payload_digest
+            from pages
+        ), typed as (
+            select *, max(page_id) over (partition by payload_digest, payload_bytes) as last from digests
+        )
+        select page_id, payload_bytes, payload_digest,
+            case when payload_bytes >= 1000 and page_id <> last then 'revisit' else 'response' end as record_type,
+            case when payload_bytes >= 1000 and page_id <> last then last end as refers_to
+        from typed
+    """,
     # the template below is the operator's default one
     "op5_chat": """
         with turns as (
