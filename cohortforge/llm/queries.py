@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortforge.llm import chat, warc
+from cohortforge.llm import chat, imatch, warc
 from cohortforge.llm.bpe import round_trip_digests
 from cohortforge.llm.decontaminate import contaminated
 from cohortforge.llm.grammar import write_and_read
@@ -69,6 +69,12 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(turns.unionByName(trap))
 
 
+@query
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they and the next are."""
+    return imatch.compare(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets reach a similarity of 0.75."""
