@@ -226,7 +226,7 @@ SPAN_TYPE = pa.list_(
 )
 
 
-def _find(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+def _find(batches: Iterable[pa.RecordBatch], text: int, out: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in text_slices(batch.column(text)):
             part, rows = batch.slice(a, b - a), []
@@ -235,20 +235,25 @@ def _find(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBat
                 rows.append([(*s, -1) for s in base] + candidates(t, base))
             columns = dict(zip(part.schema.names, part.columns))
             spans = [[dict(zip(("kind", "start", "stop", "signature"), s)) for s in row] for row in rows]
-            yield pa.RecordBatch.from_pydict({**columns, "spans": pa.array(spans, SPAN_TYPE)})
+            yield pa.RecordBatch.from_pydict({**columns, out: pa.array(spans, SPAN_TYPE)})
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """`docs` with `spans`: base spans (signature -1) and candidates with their signatures."""
-    docs = docs.drop("spans")
+def find(docs: DataFrame, out: str = "spans") -> DataFrame:
+    """`docs` with `out`: base spans (signature -1) and candidates with their signatures."""
+    docs = docs.drop(out)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(partial(_find, text=docs.columns.index("text")), ", ".join([*fields, f"spans {SPANS}"]))
+    work = partial(_find, text=docs.columns.index("text"), out=out)
+    return docs.mapInArrow(work, ", ".join([*fields, f"`{out}` {SPANS}"]))
 
 
-def train(found: DataFrame) -> np.ndarray:
-    """The classifier for the candidates of a whole corpus, from their counts by signature."""
-    signatures = found.select(F.explode("spans.signature").alias("s")).where("s >= 0").groupBy("s").count()
-    return classifier({r["s"]: r["count"] for r in signatures.collect()})  # at most SIGNATURES rows
+def train(spans: DataFrame) -> np.ndarray:
+    """The classifier for the candidates of a whole corpus, from their counts by signature.
+
+    `spans` has one column, what `find` adds.
+    """
+    each = spans.toDF("spans").select(F.explode("spans.signature").alias("s")).where("s >= 0")
+    # at most SIGNATURES rows
+    return classifier({r["s"]: r["count"] for r in each.groupBy("s").count().collect()})
 
 
 def accepted(spans: list[dict], personal: np.ndarray) -> list[Span]:
@@ -285,7 +290,7 @@ def report(docs: DataFrame) -> DataFrame:
     often as they come; an empty table gives an empty result.
     """
     found = staged(find(docs.select("doc_id", "text")).select("doc_id", "spans"), "spans")
-    return found.mapInArrow(partial(_report, personal=train(found)), REPORT)
+    return found.mapInArrow(partial(_report, personal=train(found.select("spans"))), REPORT)
 
 
 def redacted(text: str | None, spans: list[Span]) -> str | None:
@@ -311,6 +316,7 @@ def _redact(batches: Iterable[pa.RecordBatch], personal: np.ndarray, text: int)
 
 def redact(docs: DataFrame) -> DataFrame:
     """`docs` with personal data in `text` replaced by its kind; all rows and other columns stay."""
-    found = staged(find(docs), "spans")
-    work = partial(_redact, personal=train(found), text=docs.columns.index("text"))
-    return found.mapInArrow(work, found.drop("spans").schema).select(*docs.columns)
+    found = staged(find(docs, "__spans__"), "spans")
+    personal = train(found.select("__spans__"))
+    work = partial(_redact, personal=personal, text=docs.columns.index("text"))
+    return found.mapInArrow(work, docs.schema)

@@ -213,26 +213,28 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, chars: int = F
     return QualityModel(share, vocabulary, vectors, scale, layers, temperature)
 
 
-def _score(batches: Iterable[pa.RecordBatch], model: QualityModel, text: int) -> Iterator[pa.RecordBatch]:
+def _score(
+    batches: Iterable[pa.RecordBatch], model: QualityModel, text: int, out: str
+) -> Iterator[pa.RecordBatch]:
     numbers = Terms(model.vocabulary)
     for batch in batches:
         for a, b in text_slices(batch.column(text)):
             part = batch.slice(a, b - a)
             scores = model.probabilities([numbers.of(t) for t in part.column(text).to_pylist()])
             columns = dict(zip(part.schema.names, part.columns))
-            yield pa.RecordBatch.from_pydict({**columns, "score": pa.array(scores.astype(np.float64))})
+            yield pa.RecordBatch.from_pydict({**columns, out: pa.array(scores.astype(np.float64))})
 
 
-def score(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """`docs` with `score`: the probability that the whole text is of label 1.
+def score(docs: DataFrame, model: QualityModel, out: str = "score") -> DataFrame:
+    """`docs` with `out`: the probability that the whole text is of label 1.
 
     Null and empty texts get the score of a text without words. Only the text is looked at; other
-    columns pass through, one called `score` is replaced. An empty table stays empty.
+    columns pass through, one called as `out` is replaced. An empty table stays empty.
     """
-    docs = docs.drop("score")
+    docs = docs.drop(out)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    work = partial(_score, model=model, text=docs.columns.index("text"))
-    return docs.mapInArrow(work, ", ".join([*fields, "score double"]))
+    work = partial(_score, model=model, text=docs.columns.index("text"), out=out)
+    return docs.mapInArrow(work, ", ".join([*fields, f"`{out}` double"]))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -249,4 +251,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` without those of a score under `THRESHOLD`."""
-    return score(docs, fit(docs, labels)).where(F.col("score") >= THRESHOLD).select(*docs.columns)
+    scored = score(docs, fit(docs, labels), "__quality__")
+    return scored.where(F.col("__quality__") >= THRESHOLD).drop("__quality__")

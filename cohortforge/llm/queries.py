@@ -100,6 +100,35 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL: dict[str, str] = {
+    "op7_near_dedup": r"""
+        with recursive words as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') as w
+            from documents
+        ), sets as (
+            select doc_id, case
+                when len(w) >= 5 then list_distinct(
+                    list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                when len(w) > 0 then [array_to_string(w, ' ')]
+                else [] end as s
+            from words
+        ), grams as (
+            select doc_id, len(s) as n, unnest(s) as g from sets
+        ), links as (
+            select a.doc_id as x, b.doc_id as y from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id
+            group by a.doc_id, b.doc_id, a.n, b.n
+            having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), reach as (
+            select doc_id, doc_id as other from sets
+            union
+            select r.doc_id, l.y from reach r join links l on r.other = l.x
+        ), least as (
+            select doc_id, min(other) as component_id from reach group by doc_id
+        )
+        select doc_id, len(s) as n_shingles, component_id, doc_id = component_id as kept
+        from sets join least using (doc_id)
+    """,
     "op9_warc": """
         with digests as (
             select page_id, strlen(coalesce(html, '')) as payload_bytes,
