@@ -1,0 +1,89 @@
+import hashlib
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cohortforge.llm import pii
+
+PARTS = [
+    "a", "b@c.de", "@", ".", "-", " ", "+", "1", "12", "255", "256", "4111 1111 1111 1111",
+    "4111111111111111", "(", "é", "_", "%", "0", "00", "\n", "192.168.0.1", "+1 (238) 555-9523",
+]
+
+
+def luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + k % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def brute(text):
+    """The stated patterns as they stand, failing matches dropped."""
+    digits = lambda m: re.sub("[^0-9]", "", m.group())
+    rules = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.group().split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(digits(m)) <= 15),
+    )
+    return [(kind, m.start(), m.end()) for kind, rule, good in rules for m in re.finditer(rule, text) if good(m)]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=16).map("".join))
+def test_base_spans_as_stated(text):
+    assert pii.base_spans(text) == brute(text)
+
+
+def test_report_of_a_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    found = {r["doc_id"]: r for r in pii.report(docs).collect()}
+    assert found.keys() == texts.keys()
+    for doc, text in texts.items():
+        base = brute(text)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert found[doc]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [found[doc][f"n_{k}"] for k in pii.BASE_KINDS] == [sum(s[0] == k for s in base) for k in pii.BASE_KINDS]
+        assert found[doc]["spans"].startswith(joined)
+
+
+def test_added_spans(frame):
+    rows = [(k, f'so password=ab4{k}efd1e0d33{k}7c and token = "9983{k}f02190d78{k}c0" here') for k in range(60)]
+    rows += [(100 + k, f"on page {k}1234 of 1{k}/2/2001 we saw 12:30:4{k % 10} and v1.2.{k}") for k in range(60)]
+    found = {r["doc_id"]: r["spans"] for r in pii.report(frame(rows)).collect()}
+    for k, text in rows[:60]:
+        spans = [text[int(a) : int(b)] for _, a, b in (s.split(":") for s in found[k].split(","))]
+        assert spans == [f"ab4{k}efd1e0d33{k}7c", f"9983{k}f02190d78{k}c0"]
+    assert {found[100 + k] for k in range(60)} == {""}
+
+
+def test_expectation_maximisation_finds_the_unreliable_labeler():
+    """Three labelers agree with the truth nine times in ten, one votes at random."""
+    rng = np.random.default_rng(1)
+    counts = {}
+    for truth in rng.integers(0, 2, 4000):
+        votes = [1 + (truth if rng.random() < 0.9 else 1 - truth) for _ in range(3)] + [1 + rng.integers(0, 2), 0, 0]
+        number = 0
+        for vote in votes:
+            number = 3 * number + int(vote)
+        counts[number << len(pii.FEATURES)] = counts.get(number << len(pii.FEATURES), 0) + 1
+    _, _, rates = pii.reliabilities(counts)
+    assert all(0.85 < rates[c, k, 1 + c] < 0.95 for c in (0, 1) for k in range(3))
+    assert all(0.4 < rates[c, 3, 1 + c] < 0.6 for c in (0, 1))
+
+
+def test_redaction_and_edges(frame, edges, nothing):
+    docs = frame([(1, "mail a@b.co now"), (2, "at +1 (238) 555-9523."), (3, None), (4, "4111 1111 1111 1111")])
+    out = pii.redact(docs)
+    assert out.columns == docs.columns
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert [rows[k]["text"] for k in (1, 2, 3, 4)] == ["mail [EMAIL] now", "at [PHONE].", None, "[CARD]"]
+    assert rows[1]["spans"] == "mine"
+    assert pii.redacted("abcdef", [("ip", 1, 3), ("card", 2, 5)]) == "a[IP]f"
+    assert pii.report(edges).count() == edges.count()
+    assert pii.report(nothing).collect() == [] and pii.redact(nothing).collect() == []
