@@ -108,12 +108,9 @@ class Bpe:
             ids += self.marks[piece]
         return array("I", ids).tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """All ids of a text as little-endian 32-bit integers; special tokens in it are special."""
-        return b"".join(
-            self.memory.ids(cut(part)) if isinstance(part, str) else np.array([part], "<u4").tobytes()
-            for part in split_special(text or "", self.special)
-        )
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """All ids of each text as little-endian 32-bit integers; special tokens are special."""
+        return encode_all(texts, self.special, self.memory)
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; what is not UTF-8 becomes the replacement character."""
@@ -135,12 +132,25 @@ def split_special(text: str, special: dict[str, int]) -> list[str | int]:
     return parts
 
 
+def encode_all(texts: list[str | None], special: dict[str, int], memory: ChunkMemory) -> list[bytes]:
+    """Ids of texts by way of their chunks; a chunk that many of them have is encoded once."""
+    split = [
+        [cut(part) if isinstance(part, str) else part for part in split_special(text or "", special)]
+        for text in texts
+    ]
+    memory.learn(set().union(*(part for parts in split for part in parts if isinstance(part, list))))
+    return [
+        b"".join(memory.ids(p) if isinstance(p, list) else np.array([p], "<u4").tobytes() for p in parts)
+        for parts in split
+    ]
+
+
 def _encode(batches: Iterable[pa.RecordBatch], path: str, text: int, decode: bool) -> Iterator[pa.RecordBatch]:
     bpe = Bpe(path)
     for batch in batches:
         for a, b in text_slices(batch.column(text)):
             part = batch.slice(a, b - a)
-            ids = [bpe.encode(t) for t in part.column(text).to_pylist()]
+            ids = bpe.encode(part.column(text).to_pylist())
             new = {"ids": pa.array(ids, pa.binary())}
             if decode:
                 new["decoded"] = pa.array([bpe.decode(i) for i in ids], pa.string())

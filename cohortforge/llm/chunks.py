@@ -38,18 +38,20 @@ class ChunkMemory:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def ids(self, chunks: list[str]) -> bytes:
-        """The ids of all chunks, in order."""
-        new, old, missing = self.new, self.old, {}
-        for chunk in set(chunks):
+    def learn(self, chunks: Iterable[str]) -> None:
+        """Have distinct chunks at hand, until the next call; those not known are encoded at once."""
+        if len(self.new) > self.kept:
+            self.old, self.new = self.new, {}
+        new, old, missing = self.new, self.old, []
+        for chunk in chunks:
             if chunk not in new:
                 if (known := old.get(chunk)) is None:
-                    missing[chunk] = None
+                    missing.append(chunk)
                 else:
                     new[chunk] = known
         if missing:
-            new.update(zip(missing, self.encode(list(missing))))
-        out = b"".join(map(new.__getitem__, chunks))
-        if len(new) > self.kept:
-            self.old, self.new = new, {}
-        return out
+            new.update(zip(missing, self.encode(missing)))
+
+    def ids(self, chunks: list[str]) -> bytes:
+        """The ids of learnt chunks, in order."""
+        return b"".join(map(self.new.__getitem__, chunks))

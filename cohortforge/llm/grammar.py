@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortforge.llm.chunks import ChunkMemory, cut
-from cohortforge.llm.bpe import split_special
+from cohortforge.llm.bpe import encode_all
+from cohortforge.llm.chunks import ChunkMemory
 from cohortforge.llm.shared import new_path, staged, text_slices
 
 MAGIC = b"repair01"
@@ -58,26 +58,24 @@ class LibraryEncoder:
 
     def chunks(self, chunks: list[str]) -> list[bytes]:
         """Chunks that start with a space and a non-space encode alike when joined."""
-        joins = [len(c) > 1 and c[0] == " " and not c[1].isspace() for c in chunks]
+        joins = [c[:1] == " " and not c[1:2].isspace() and c != " " for c in chunks]
         raw = [c.encode() for c, j in zip(chunks, joins) if j]
         whole = self.tokenizer.encode_batch_fast([b"".join(raw).decode()], add_special_tokens=False)[0]
         ids = np.array(whole.ids, "<u4")
-        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(r) for r in raw])) + 1
-        data, at, joined = ids.tobytes(), 0, []
-        for end in (4 * ends).tolist():
-            joined.append(data[at:end])
-            at = end
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = 4 * (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1)
+        data, ends = ids.tobytes(), ends.tolist()
+        joined = [data[a:b] for a, b in zip([0, *ends], ends)]
         alone = [c for c, j in zip(chunks, joins) if not j]
+        if not alone:
+            return joined
         others = self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)
         first, second = iter(joined), (np.array(e.ids, "<u4").tobytes() for e in others)
         return [next(first if j else second) for j in joins]
 
-    def encode(self, text: str | None) -> bytes:
-        """All ids of a text as little-endian 32-bit integers."""
-        return b"".join(
-            self.memory.ids(cut(part)) if isinstance(part, str) else np.array([part], "<u4").tobytes()
-            for part in split_special(text or "", self.special)
-        )
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """All ids of each text as little-endian 32-bit integers."""
+        return encode_all(texts, self.special, self.memory)
 
 
 def winners(rank: np.ndarray) -> np.ndarray:
@@ -237,14 +235,15 @@ def _write(batches: Iterable[pa.RecordBatch], path: str, folder: str) -> Iterato
         )
 
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids = encoder.encode(text) + end
-            docs.append(doc)
-            tokens.append(ids)
-            held += len(ids) // 4
-            if held >= SHARD:
-                yield close()
-                docs, tokens, held, seq = [], [], 0, seq + 1
+        for a, b in text_slices(batch.column(1), 1 << 21):
+            rows = batch.slice(a, b - a)
+            for doc, ids in zip(rows.column(0).to_pylist(), encoder.encode(rows.column(1).to_pylist())):
+                docs.append(doc)
+                tokens.append(ids + end)
+                held += len(ids) // 4 + 1
+                if held >= SHARD:
+                    yield close()
+                    docs, tokens, held, seq = [], [], 0, seq + 1
     if docs:
         yield close()
 
