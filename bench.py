@@ -14,10 +14,10 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortforge import Study
-from cohortforge.plans.extracts import extract_names
-from cohortforge.session import configure, shared_folder
+from cohortforge.plans.release import extract_names
+from cohortforge.session import configure
 from cohortforge.sources import StageStore
-from testbed.sources import CONFIG, ViewSources
+from testbed.sources import CONFIG, ViewSources, stage_folder
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -71,7 +71,7 @@ def main() -> None:
     sources = ViewSources(spark, SF_DIR)
     run(sources("order_results"))  # warm the session, not the queries
 
-    study = Study(sources, CONFIG, StageStore(spark, shared_folder(spark)))
+    study = Study(sources, CONFIG, StageStore(spark, stage_folder(spark)))
     times = {}
     for name in (*HEADLINE, *extract_names()):
         if name not in times:

@@ -55,7 +55,7 @@ class StudyConfig:
     window_start: date
     window_end: date
     as_of: date
-    salt: str = ""
+    salt: str
     dx_flag: str = "TARGET"
     adult_age: int = 18
     rules: tuple[Rule, ...] = POSITIVE_RULES
@@ -75,3 +75,7 @@ class StudyConfig:
     pathology_type: int = 59
     final_radiology: int = 99
     mask_floor: int = 10
+
+    def __post_init__(self) -> None:
+        if not self.salt:
+            raise ValueError("a salt is required: without one, study ids can be recomputed")

@@ -8,7 +8,7 @@ from cohortforge.functions.dates import (
     months_age,
 )
 from cohortforge.functions.results import harmonize_numeric, harmonize_qualitative
-from cohortforge.functions.text import blank_to_null, concat_present, has_text
+from cohortforge.functions.text import blank_to_null, concat_present, has_text, trimmed
 
 __all__ = [
     "age_years",
@@ -25,4 +25,5 @@ __all__ = [
     "incomplete_address",
     "months_age",
     "resolve_medication",
+    "trimmed",
 ]

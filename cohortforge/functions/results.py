@@ -5,6 +5,8 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cohortforge.functions.text import trimmed
+
 # The result patterns.
 SIGN = r"[><%]=*"
 WHOLE_NUMBER = r"[1-9]\d*(\.,\d+)?"  # a decimal part needs the literal ".,"
@@ -26,7 +28,7 @@ def _number(text: Column) -> Column:
 
 
 def harmonize_numeric(text: Column, number: Column, strict_decimals: bool = False) -> Harmonized:
-    """Comparison sign, trimmed text and best number of a result.
+    """Comparison sign, trimmed text (NULL when blank) and best number of a result.
 
     Times and results with no nonzero digit keep the stored number; `<0.04`
     gives what follows the sign, `28%` the leading whole number (28.5 for
@@ -39,7 +41,7 @@ def harmonize_numeric(text: Column, number: Column, strict_decimals: bool = Fals
         .when(text.contains("%"), _number(F.regexp_substr(text, F.lit(percent))))
         .otherwise(number)
     )
-    return Harmonized(F.regexp_substr(text, F.lit(SIGN)), F.trim(text), value)
+    return Harmonized(F.regexp_substr(text, F.lit(SIGN)), trimmed(text), value)
 
 
 def harmonize_qualitative(text: Column) -> Column:

@@ -8,6 +8,11 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def trimmed(text: Column) -> Column:
+    """Trimmed text, NULL when nothing is left."""
+    return blank_to_null(F.trim(text))
+
+
 def has_text(text: Column) -> Column:
     """True when something is left after trimming."""
     return F.trim(text) != ""

@@ -6,13 +6,8 @@ from cohortforge.operators.events import (
     rule_events,
 )
 from cohortforge.operators.keys import dense_key
-from cohortforge.operators.ledger import count_groups, count_stage, ledger
-from cohortforge.operators.lookup import (
-    broadcast_if_small,
-    code_map,
-    decode,
-    outer_join_details,
-)
+from cohortforge.operators.ledger import count_groups, count_stage, count_steps, ledger
+from cohortforge.operators.lookup import code_map, decode
 from cohortforge.operators.merge import flag_exists, merge_flags, upsert
 from cohortforge.operators.privacy import check_private, deidentify
 from cohortforge.operators.profile import mask_small, panel_stats, profile
@@ -20,11 +15,11 @@ from cohortforge.operators.review import apply_selection, review_list, tagged_un
 
 __all__ = [
     "apply_selection",
-    "broadcast_if_small",
     "check_private",
     "code_map",
     "count_groups",
     "count_stage",
+    "count_steps",
     "decode",
     "deidentify",
     "dense_key",
@@ -36,7 +31,6 @@ __all__ = [
     "ledger",
     "mask_small",
     "merge_flags",
-    "outer_join_details",
     "panel_stats",
     "profile",
     "review_list",

@@ -6,30 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting that `df` has at most `rows` rows.
-
-    For narrow tables derived by joins, whose size the planner overrates and would
-    shuffle the fact for. A larger table stays unhinted: a shuffled join, split by
-    adaptive execution where a key is hot.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def outer_join_details(df: DataFrame, details: DataFrame, key: str) -> DataFrame:
-    """Left join to a table that may hold very many rows of one key.
-
-    A left join cannot be split on its right side. The inner join can be split on
-    either, and the rows without details are added from an anti-join on the keys.
-    """
-    matched = df.join(details, key)
-    alone = df.join(details.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
-
-
 def decode(
     df: DataFrame,
     dictionary: DataFrame,

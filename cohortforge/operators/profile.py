@@ -40,32 +40,39 @@ def panel_stats(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def counted_median(
-    counted: DataFrame, group: str, value: str, n: str, slices: int = 1024
+    counted: DataFrame, group: str, value: str, n: str, slices: int = 64
 ) -> DataFrame:
-    """Exact median per group of values with their counts.
+    """Exact median per group of distinct values with their counts.
 
-    Each group's range is cut into slices. Slice totals (at most slices + 1 per
-    group) show which slice holds the middle ranks, and only its values are ranked.
+    A group's values are cut at approximate quantiles, so each slice holds about as many of them
+    however far outliers lie. Exact slice totals show which slice holds the middle ranks, and only
+    values between its bounds are ranked. The quantiles decide where is looked, not what is found.
     """
-    spans = counted.groupBy(group).agg(
-        F.min(value).alias("_low"), F.max(value).alias("_high"), F.sum(n).alias("_total")
+    shares = [k / slices for k in range(1, slices)]
+    cuts = counted.groupBy(group).agg(
+        F.percentile_approx(value, shares, 20 * slices).alias("_cuts")
     )
-    width = F.col("_high") - F.col("_low")
-    place = F.floor((F.col(value) - F.col("_low")) / width * slices)
-    sliced = counted.join(spans, group).withColumn("_slice", F.when(width > 0, place).otherwise(0))
-
-    lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
-    sums = sliced.groupBy(group, "_slice").agg(
-        F.sum(n).alias("_inside"), F.first("_total").alias("_total")
+    low = F.array_max(F.filter("_cuts", lambda c: c <= F.col(value)))
+    sums = (
+        counted.join(cuts, group)
+        .withColumn("_low", low)
+        .groupBy(group, "_low")
+        .agg(F.sum(n).alias("_inside"))
     )
-    upto = F.sum("_inside").over(Window.partitionBy(group).orderBy("_slice"))
+    ordered = Window.partitionBy(group).orderBy(F.asc_nulls_first("_low"))
+    total = F.sum("_inside").over(Window.partitionBy(group))
+    lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
     middle = (
-        sums.withColumn("_before", upto - F.col("_inside"))
+        sums.withColumn("_total", total)
+        .withColumn("_before", F.sum("_inside").over(ordered) - F.col("_inside"))
+        .withColumn("_high", F.lead("_low").over(ordered))
         .where((F.col("_before") < upper) & (F.col("_before") + F.col("_inside") >= lower))
-        .select(group, "_slice", "_before")
+        .drop("_inside")
     )
-    rank = F.sum(n).over(Window.partitionBy(group, "_slice").orderBy(value)) + F.col("_before")
-    ranked = sliced.join(middle, [group, "_slice"]).withColumn("_rank", rank)
+    at_least = F.col("_low").isNull() | (F.col(value) >= F.col("_low"))
+    below = F.col("_high").isNull() | (F.col(value) < F.col("_high"))
+    rank = F.sum(n).over(Window.partitionBy(group, "_low").orderBy(value)) + F.col("_before")
+    ranked = counted.join(middle, group).where(at_least & below).withColumn("_rank", rank)
     at_lower = F.min(F.when(F.col("_rank") >= lower, F.col(value)))
     at_upper = F.min(F.when(F.col("_rank") >= upper, F.col(value)))
     return ranked.groupBy(group).agg(((at_lower + at_upper) / 2).alias("median_value"))

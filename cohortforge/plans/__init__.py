@@ -14,6 +14,7 @@ from cohortforge.plans import (
     procedures,
     providers,
     quality,
+    release,
     selection,
 )
 
@@ -31,5 +32,6 @@ __all__ = [
     "procedures",
     "providers",
     "quality",
+    "release",
     "selection",
 ]

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.operators import broadcast_if_small, mask_small
+from cohortforge.operators import mask_small
 from cohortforge.study import Study, stage
 
 
@@ -24,7 +24,7 @@ def masked_code_counts(s: Study) -> DataFrame:
     )
     counted = (
         s.src("measurement")
-        .join(broadcast_if_small(wanted), "measurement_concept_id", "left_semi")
+        .join(wanted, "measurement_concept_id", "left_semi")
         .groupBy("measurement_concept_id", "value_as_concept_id")
         .agg(F.count("*").alias("n"))
     )

@@ -9,9 +9,9 @@ from cohortforge.functions import (
     harmonize_numeric,
     harmonize_qualitative,
     in_window,
+    trimmed,
 )
 from cohortforge.operators import (
-    broadcast_if_small,
     exclude,
     first_event,
     label_cohort,
@@ -36,7 +36,7 @@ RESULT_COLUMNS = (
 @stage("First flagged diagnosis per patient")
 def first_dx_date(s: Study) -> DataFrame:
     flagged = s("dx_driver_map").where(F.col("dx_flag") == s.cfg.dx_flag).select("dx_id")
-    dx = s.src("pat_enc_dx").join(broadcast_if_small(flagged), "dx_id", "left_semi")
+    dx = s.src("pat_enc_dx").join(flagged.distinct(), "dx_id", "left_semi")
     return first_event(
         dx, "pat_id", "contact_date", in_window(F.col("contact_date"), s.cfg), "first_hiv_date"
     )
@@ -44,7 +44,7 @@ def first_dx_date(s: Study) -> DataFrame:
 
 @stage("Results of the listed laboratory codes")
 def coded_lab_pull(s: Study) -> DataFrame:
-    """The coded components are resolved first: they cut the results before any shuffle."""
+    """The coded components are resolved first; a whitespace-only result is no text."""
     cfg = s.cfg
     codes = s.src("lnc_db_main").select(F.col("record_id").alias("default_lnc_id"), "lnc_code")
     components = (
@@ -70,10 +70,10 @@ def coded_lab_pull(s: Study) -> DataFrame:
             "order_type_c",
         )
     )
-    results = s.src("order_results").where("ord_value <> ''").drop("pat_id", "result_time")
+    results = s.src("order_results").where("ord_value is not null").drop("pat_id", "result_time")
     specimens = s.src("order_proc_2").select("order_proc_id", "specimn_taken_time")
     pulled = (
-        results.join(broadcast_if_small(components), "component_id")
+        results.join(components, "component_id")
         .join(orders, "order_proc_id")
         .join(specimens, "order_proc_id")
         .join(s.src("patient").select("pat_id"), "pat_id", "left_semi")
@@ -91,7 +91,7 @@ def coded_lab_pull(s: Study) -> DataFrame:
         "order_time",
         "result_time",
         "result_date",
-        F.trim("ord_value").alias("ord_value"),
+        trimmed(F.col("ord_value")).alias("ord_value"),
         "ord_num_value",
         *RESULT_COLUMNS,
         "step",

@@ -1,11 +1,14 @@
 """The diagnosis fact: step by step, and in one pass."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions import day_of, in_window
-from cohortforge.operators import code_map, decode, flag_exists, merge_flags, upsert
-from cohortforge.study import Study, stage
+from cohortforge.operators import code_map, count_steps, decode, flag_exists, merge_flags, upsert
+from cohortforge.study import NOTES, Study, stage
 
 FOUR_KEYS = ["pat_id", "pat_enc_csn_id", "contact_date", "icd_code"]
 FIVE_KEYS = [*FOUR_KEYS, "icd_type"]
@@ -20,24 +23,27 @@ def coded(s: Study, df: DataFrame) -> DataFrame:
     return df.join(codes, "dx_id")
 
 
+UNCODED = ("pat_id", "pat_enc_csn_id", "contact_date", "dx_id", "source", "present", "adult")
+
+
 def encounter_dx(s: Study) -> DataFrame:
-    """Encounter diagnoses; only a primary ICD-9 row may belong to a minor."""
+    """Encounter diagnoses, with whether the patient is in the patient table."""
     adult = s("patient_table").select("pat_id").distinct().withColumn("_adult", F.lit(True))
     people = s("cohort").select("pat_id").join(adult, "pat_id", "left")
-    dx = (
+    source = F.when(F.col("primary_dx_yn") == "Y", "primary").otherwise("secondary")
+    return (
         s.src("pat_enc_dx")
         .where(in_window(F.col("contact_date"), s.cfg))
-        .select(
-            "pat_id",
-            "pat_enc_csn_id",
-            "contact_date",
-            "dx_id",
-            F.when(F.col("primary_dx_yn") == "Y", "primary").otherwise("secondary").alias("source"),
+        .join(people, "pat_id")
+        .withColumns(
+            {
+                "source": source,
+                "present": F.lit(False),
+                "adult": F.coalesce("_adult", F.lit(False)),
+            }
         )
+        .select(*UNCODED)
     )
-    primary9 = (F.col("source") == "primary") & (F.col("icd_type") == 9)
-    rows = coded(s, dx.join(people, "pat_id")).where(F.col("_adult") | primary9)
-    return rows.select(*FIVE_KEYS, "source", F.lit(False).alias("present"))
 
 
 def admit_dx(s: Study) -> DataFrame:
@@ -51,9 +57,8 @@ def admit_dx(s: Study) -> DataFrame:
     )
     dx = dx.withColumn("contact_date", day_of(dx, "calendar_dt"))
     dx = dx.where(in_window(F.col("contact_date"), s.cfg))
-    return coded(s, dx.join(s("cohort"), "pat_id", "left_semi")).select(
-        *FIVE_KEYS, F.lit("admit").alias("source"), F.lit(False).alias("present")
-    )
+    marks = {"source": F.lit("admit"), "present": F.lit(False), "adult": F.lit(True)}
+    return dx.join(s("cohort"), "pat_id", "left_semi").withColumns(marks).select(*UNCODED)
 
 
 def account_dx(s: Study) -> DataFrame:
@@ -67,11 +72,19 @@ def account_dx(s: Study) -> DataFrame:
     )
     lines = s.src("hsp_acct_dx_list").where("line >= 1")
     lines = decode(lines, s.src("zc_dx_poa"), "final_dx_poa_c", "dx_poa_c", "poa_name")
-    source = F.when(F.col("line") == 1, "final_first").otherwise("final_rest")
-    present = (F.col("line") > 1) & F.col("poa_name").eqNullSafe("Yes")
-    return coded(s, visits.join(lines, "hsp_account_id")).select(
-        *FIVE_KEYS, source.alias("source"), present.alias("present")
-    )
+    marks = {
+        "source": F.when(F.col("line") == 1, "final_first").otherwise("final_rest"),
+        "present": (F.col("line") > 1) & F.col("poa_name").eqNullSafe("Yes"),
+        "adult": F.lit(True),
+    }
+    return visits.join(lines, "hsp_account_id").withColumns(marks).select(*UNCODED)
+
+
+def coded_dx(s: Study, *parts: DataFrame) -> DataFrame:
+    """Diagnoses of the parts with their codes; only a primary ICD-9 row may be a minor's."""
+    primary9 = (F.col("source") == "primary") & (F.col("icd_type") == 9)
+    rows = coded(s, reduce(DataFrame.unionByName, parts))
+    return rows.where(F.col("adult") | primary9).select(*FIVE_KEYS, "source", "present")
 
 
 def from_source(df: DataFrame, source: str) -> DataFrame:
@@ -81,7 +94,7 @@ def from_source(df: DataFrame, source: str) -> DataFrame:
 @stage("Diagnoses initial load")
 def dx_primary(s: Study) -> DataFrame:
     empty = [F.lit(None).cast("string").alias(name) for name in FLAGS[1:]]
-    return from_source(encounter_dx(s), "primary").select(
+    return from_source(coded_dx(s, encounter_dx(s)), "primary").select(
         *FIVE_KEYS, F.lit("P").alias(FLAGS[0]), *empty
     )
 
@@ -91,7 +104,7 @@ def dx_add_secondary(s: Study) -> DataFrame:
     """The key leaves out the code type: a primary row of either edition wins."""
     return upsert(
         s("dx_primary"),
-        from_source(encounter_dx(s), "secondary"),
+        from_source(coded_dx(s, encounter_dx(s)), "secondary"),
         FOUR_KEYS,
         on_insert={"primary_sec_flag": F.lit("S")},
     )
@@ -100,40 +113,39 @@ def dx_add_secondary(s: Study) -> DataFrame:
 @stage("Load admit dx")
 def dx_upsert_admit(s: Study) -> DataFrame:
     admit = {"admit_dx_flag": F.lit("A")}
-    source = from_source(admit_dx(s), "admit")
+    source = from_source(coded_dx(s, admit_dx(s)), "admit")
     return upsert(s("dx_add_secondary"), source, FIVE_KEYS, admit, admit)
 
 
 @stage("Load final account dx, line 1")
 def dx_upsert_final_primary(s: Study) -> DataFrame:
     final = {"hsp_final_dx_flag": F.lit("1"), "primary_sec_flag": F.lit("P")}
-    source = from_source(account_dx(s), "final_first")
+    source = from_source(coded_dx(s, account_dx(s)), "final_first")
     return upsert(s("dx_upsert_admit"), source, FIVE_KEYS, final, final)
 
 
 @stage("Load final account dx, line 2 to end")
 def dx_upsert_final_secondary(s: Study) -> DataFrame:
     final = {"hsp_final_dx_flag": F.lit("1")}
-    source = from_source(account_dx(s), "final_rest")
+    source = from_source(coded_dx(s, account_dx(s)), "final_rest")
     added = {**final, "primary_sec_flag": F.lit("S")}
     return upsert(s("dx_upsert_final_primary"), source, FIVE_KEYS, final, added)
 
 
 @stage("Update the present-on-admission flag")
 def dx_flag_poa(s: Study) -> DataFrame:
-    present = account_dx(s).where("present")
+    present = coded_dx(s, account_dx(s)).where("present")
     target = s("dx_upsert_final_secondary")
     return flag_exists(target, present, FIVE_KEYS, "poa_flag", F.lit("Y"))
 
 
-@stage("Diagnoses")
-def diagnosis_fact(s: Study) -> DataFrame:
-    """All six steps in one shuffle on the four keys.
+@stage("Marks of all diagnosis sources by key")
+def diagnosis_marks(s: Study) -> DataFrame:
+    """Which sources name a code, by the four keys: one join to the codes, one shuffle.
 
-    Both editions of a key sit in one group, so the secondary rule (no primary of
-    either edition) is decided there; then each edition becomes its own row.
+    Both editions of a key sit in one row, as a primary row of either keeps a secondary one out.
     """
-    rows = encounter_dx(s).unionByName(admit_dx(s)).unionByName(account_dx(s))
+    rows = coded_dx(s, encounter_dx(s), admit_dx(s), account_dx(s))
     marks = {}
     for kind in CODE_TYPES:
         of_kind = F.col("icd_type") == kind
@@ -141,18 +153,49 @@ def diagnosis_fact(s: Study) -> DataFrame:
             marks[f"{source}_{kind}"] = of_kind & (F.col("source") == source)
         marks[f"present_{kind}"] = of_kind & F.col("present")
     merged = merge_flags(rows, FOUR_KEYS, marks)
-
     any_primary = F.col("primary_9") | F.col("primary_10")
+    added = {f"secondary_{k}": F.col(f"secondary_{k}") & ~any_primary for k in CODE_TYPES}
+    return merged.withColumns(added)
+
+
+# step -> the sources that have added rows by then
+STEPS = {
+    "dx_primary": ("primary",),
+    "dx_add_secondary": ("primary", "secondary"),
+    "dx_upsert_admit": ("primary", "secondary", "admit"),
+    "dx_upsert_final_primary": ("primary", "secondary", "admit", "final_first"),
+    "dx_upsert_final_secondary": ("primary", "secondary", "admit", "final_first", "final_rest"),
+    "dx_flag_poa": ("primary", "secondary", "admit", "final_first", "final_rest"),
+}
+
+
+def rows_after(step: str, kind: int) -> Column:
+    """Whether a key has a row of an edition after a step."""
+    return reduce(or_, (F.col(f"{source}_{kind}") for source in STEPS[step]))
+
+
+def diagnosis_counts(s: Study) -> DataFrame:
+    """Ledger rows of the six steps, without taking them."""
+    rows = {
+        step: sum((rows_after(step, kind).cast("long") for kind in CODE_TYPES), F.lit(0))
+        for step in STEPS
+    }
+    counted = s("diagnosis_marks").withColumns(rows)
+    return count_steps(counted, {step: (step, NOTES[step]) for step in STEPS})
+
+
+@stage("Diagnoses")
+def diagnosis_fact(s: Study) -> DataFrame:
+    """All six steps at once: each edition of a key with a mark becomes a row."""
 
     def edition(kind: int):
         def has(source: str):
             return F.col(f"{source}_{kind}")
 
-        secondary = has("secondary") & ~any_primary
         final = has("final_first") | has("final_rest")
         rank = (
             F.when(has("final_first") | has("primary"), "P")
-            .when(secondary, "S")
+            .when(has("secondary"), "S")
             .when(has("admit"), F.lit(None))
             .otherwise("S")
         )
@@ -162,10 +205,10 @@ def diagnosis_fact(s: Study) -> DataFrame:
             F.when(has("admit"), "A").alias("admit_dx_flag"),
             F.when(has("present"), "Y").alias("poa_flag"),
             F.when(final, "1").alias("hsp_final_dx_flag"),
-            (has("primary") | secondary | has("admit") | final).alias("exists"),
+            rows_after("dx_flag_poa", kind).alias("exists"),
         )
 
     editions = F.explode(F.array(*(edition(kind) for kind in CODE_TYPES))).alias("e")
-    return merged.select(*FOUR_KEYS, editions).where("e.exists").select(
+    return s("diagnosis_marks").select(*FOUR_KEYS, editions).where("e.exists").select(
         *FOUR_KEYS, "e.icd_type", *(f"e.{name}" for name in FLAGS)
     )

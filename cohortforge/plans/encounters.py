@@ -67,4 +67,5 @@ def encounters(s: Study) -> DataFrame:
 
 @stage("Encounter key")
 def encounter_key(s: Study) -> DataFrame:
-    return dense_key(s("encounters"), "pat_enc_csn_id", "encounter_id", s.cfg.salt)
+    earlier = s.keys.get("encounter_id")
+    return dense_key(s("encounters"), "pat_enc_csn_id", "encounter_id", s.cfg.salt, earlier)

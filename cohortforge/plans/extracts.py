@@ -12,9 +12,8 @@ from cohortforge.functions import (
     concat_present,
     decode_value,
 )
-from cohortforge.operators import check_private, deidentify
-from cohortforge.sources.sinks import write_csv
-from cohortforge.study import STAGES, Study, stage
+from cohortforge.operators import deidentify
+from cohortforge.study import Study, stage
 
 IDENTIFIED = ("extract_identifiers", "extract_disclosure_list")
 
@@ -38,10 +37,6 @@ def code_descriptions(s: Study) -> DataFrame:
     )
 
 
-def sorted_by(df: DataFrame, *columns: str) -> DataFrame:
-    return df.orderBy(*(F.asc_nulls_last(c) for c in columns))
-
-
 def renamed(**names: str) -> list[Column]:
     return [F.col(old).alias(new) for new, old in names.items()]
 
@@ -245,7 +240,7 @@ def extract_labs(s: Study) -> DataFrame:
     )
     return (
         private(s, "select_labs")
-        .join(mapping.distinct(), ["order_proc_id", "proc_id", "component_id"], "left")
+        .join(mapping, ["order_proc_id", "proc_id", "component_id"], "left")
         .select(
             "study_id",
             "encounter_num",
@@ -326,7 +321,7 @@ def extract_providers(s: Study) -> DataFrame:
         "active_providers",
         "hiv_provider",
     )
-    return sorted_by(report.distinct(), "prov_study_id")
+    return report.distinct()
 
 
 @stage("Problem list extract")
@@ -395,7 +390,7 @@ def extract_adt(s: Study) -> DataFrame:
         )
         .distinct()
     )
-    return sorted_by(report, "study_id", "encounter_num", "time_in")
+    return report
 
 
 @stage("Family history extract")
@@ -457,7 +452,7 @@ def extract_microbiology(s: Study) -> DataFrame:
         )
         .distinct()
     )
-    return sorted_by(report, "study_id", "order_proc_id", "micro_sorting", "line", "line_comment")
+    return report
 
 
 @stage("Susceptibility extract")
@@ -471,7 +466,7 @@ def extract_susceptibility(s: Study) -> DataFrame:
         )
         .distinct()
     )
-    return sorted_by(report, "study_id", "order_proc_id")
+    return report
 
 
 @stage("Pathology extract")
@@ -500,7 +495,7 @@ def extract_pathology(s: Study) -> DataFrame:
         )
         .distinct()
     )
-    return sorted_by(report, "study_id", "order_proc_id", "line", "line_comment")
+    return report
 
 
 @stage("Imaging extract")
@@ -531,7 +526,7 @@ def extract_imaging(s: Study) -> DataFrame:
         )
         .distinct()
     )
-    return sorted_by(report, "study_id", "order_proc_id")
+    return report
 
 
 @stage("Narratives extract")
@@ -539,7 +534,7 @@ def extract_narratives(s: Study) -> DataFrame:
     report = private(s, "imaging_narratives", link=False).select(
         "study_id", "order_proc_id", *renamed(line="narr_line", narrative="narr_narrative")
     )
-    return sorted_by(report.distinct(), "study_id", "order_proc_id", "line")
+    return report.distinct()
 
 
 @stage("Impressions extract")
@@ -547,7 +542,7 @@ def extract_impressions(s: Study) -> DataFrame:
     report = private(s, "imaging_impressions", link=False).select(
         "study_id", "order_proc_id", *renamed(line="impr_line", impression="impr_impression")
     )
-    return sorted_by(report.distinct(), "study_id", "order_proc_id", "line")
+    return report.distinct()
 
 
 @stage("Appointments extract")
@@ -580,7 +575,7 @@ def extract_appointments(s: Study) -> DataFrame:
         )
         .distinct()
     )
-    return sorted_by(report, "study_id", "appt_dttm")
+    return report
 
 
 COVERAGE_COLUMNS = ("financial_class_name", "mem_eff_from_date", "mem_eff_to_date")
@@ -591,9 +586,7 @@ def extract_patient_coverage(s: Study) -> DataFrame:
     """Repeats are kept."""
     cover = s.src("lz_clarity_coverage_pat").select("pat_id", *COVERAGE_COLUMNS)
     report = deidentify(cover, s("patient_table"), keep_repeats=True)
-    return sorted_by(
-        report.select("study_id", *COVERAGE_COLUMNS), "study_id", "mem_eff_from_date"
-    )
+    return report.select("study_id", *COVERAGE_COLUMNS)
 
 
 @stage("Encounter coverage extract")
@@ -613,7 +606,7 @@ def extract_encounter_coverage(s: Study) -> DataFrame:
         keep_repeats=True,
     )
     columns = ("study_id", "encounter_num", "line")
-    return sorted_by(report.select(*columns, *COVERAGE_COLUMNS), *columns)
+    return report.select(*columns, *COVERAGE_COLUMNS)
 
 
 @stage("Disclosure list")
@@ -624,20 +617,3 @@ def extract_disclosure_list(s: Study) -> DataFrame:
         .select("pat_mrn_id", "pat_last_name", "pat_first_name")
         .distinct()
     )
-
-
-PANEL_REPORTS = ("panel_profile", "panel_age", "panel_geocode")
-
-
-def extract_names() -> list[str]:
-    return [n for n in STAGES if n.startswith("extract_") or n in PANEL_REPORTS]
-
-
-def export(s: Study, folder: str, names: list[str] | None = None) -> list[str]:
-    """Write extracts as CSV; a private one with a raw identifier is refused."""
-    paths = []
-    for name in names or extract_names():
-        df = s(name) if name in IDENTIFIED else check_private(s(name))
-        paths.append(f"{folder}/{name}")
-        write_csv(df, paths[-1])
-    return paths

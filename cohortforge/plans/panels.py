@@ -20,10 +20,15 @@ PANEL_DIMENSIONS = {
 }
 
 
+def panel_ids(s: Study) -> DataFrame:
+    """One row a provider, however many employee records there are."""
+    ids = s("providers").select(F.col("provider_id").alias("cur_pcp_prov_id"), "prov_study_id")
+    return ids.distinct()
+
+
 def panel(s: Study) -> DataFrame:
     """Providers with the patients whose primary care provider they are."""
-    ids = s("providers").select(F.col("provider_id").alias("cur_pcp_prov_id"), "prov_study_id")
-    return s.src("lz_clarity_patient").join(ids, "cur_pcp_prov_id")
+    return s.src("lz_clarity_patient").join(panel_ids(s), "cur_pcp_prov_id")
 
 
 def panel_places(s: Study) -> DataFrame:
@@ -43,24 +48,20 @@ def panel_places(s: Study) -> DataFrame:
 
 @stage("Panel profile")
 def panel_profile(s: Study) -> DataFrame:
-    report = profile(panel_places(s), "prov_study_id", PANEL_DIMENSIONS, "pat_id")
-    return report.orderBy(
-        *(F.asc_nulls_last(c) for c in ("prov_study_id", "demo_type", "demo_sub_type"))
-    )
+    return profile(panel_places(s), "prov_study_id", PANEL_DIMENSIONS, "pat_id")
 
 
 @stage("Panel ages")
 def panel_age(s: Study) -> DataFrame:
-    """Heads are distinct; the averages weigh a patient once per provider row."""
+    """Ages of the patients of each panel, and how many of them are in the patient table."""
     people = panel(s)
     heads = people.groupBy("prov_study_id").agg(F.count_distinct("pat_id").alias("total_patients"))
     age = months_age(F.col("birth_date"), s.cfg.as_of)
     ages = panel_stats(people.select("prov_study_id", age.alias("age")), "prov_study_id", "age")
-    ids = s("providers").select(F.col("provider_id").alias("cur_pcp_prov_id"), "prov_study_id")
     care = (
         s("patient_table")
         .select("cur_pcp_prov_id")
-        .join(ids, "cur_pcp_prov_id")
+        .join(panel_ids(s), "cur_pcp_prov_id")
         .groupBy("prov_study_id")
         .agg(F.count("*").alias("hiv_patients"))
     )

@@ -24,7 +24,7 @@ def adult_filter(s: Study) -> DataFrame:
 
 @stage("Pseudonymous study ids")
 def study_id_map(s: Study) -> DataFrame:
-    return dense_key(adults(s), "pat_id", "study_id", s.cfg.salt)
+    return dense_key(adults(s), "pat_id", "study_id", s.cfg.salt, s.keys.get("study_id"))
 
 
 @stage("Adult cohort patients with decoded demographics")

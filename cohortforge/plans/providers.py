@@ -9,13 +9,8 @@ from cohortforge.operators import dense_key
 from cohortforge.study import Study, stage
 
 
-@stage("Providers")
-def providers(s: Study) -> DataFrame:
-    """Providers of encounters, procedures, panels, care list and problems.
-
-    A missing provider is left out, and a provider whose employee records differ
-    has a row for each under one study id.
-    """
+def provider_ids(s: Study) -> DataFrame:
+    """Providers of encounters, procedures, panels, care list and problems."""
     lists = (
         ("encounters", "visit_prov_id"),
         ("procedure_fact", "proc_perf_prov_id"),
@@ -24,8 +19,23 @@ def providers(s: Study) -> DataFrame:
         ("problem_list", "prov_id"),
     )
     named = [s(name).select(F.col(column).alias("provider_id")).distinct() for name, column in lists]
-    ids = reduce(DataFrame.union, named).where("provider_id is not null").distinct()
+    return reduce(DataFrame.union, named).where("provider_id is not null").distinct()
+
+
+@stage("Pseudonymous provider ids")
+def provider_key(s: Study) -> DataFrame:
+    earlier = s.keys.get("prov_study_id")
+    return dense_key(provider_ids(s), "provider_id", "prov_study_id", s.cfg.salt, earlier)
 
+
+@stage("Providers")
+def providers(s: Study) -> DataFrame:
+    """The study's providers, described.
+
+    A missing provider is left out, and a provider whose employee records differ
+    has a row for each under one study id.
+    """
+    ids = provider_ids(s)
     described = s.src("v_cube_d_provider").select(
         "provider_id", "provider_type", "primary_specialty", "provider_name"
     )
@@ -51,5 +61,4 @@ def providers(s: Study) -> DataFrame:
         )
         .distinct()
     )
-    keys = dense_key(ids, "provider_id", "prov_study_id", s.cfg.salt)
-    return keys.join(rows, "provider_id").select("prov_study_id", *rows.columns)
+    return s("provider_key").join(rows, "provider_id").select("prov_study_id", *rows.columns)

@@ -3,8 +3,11 @@
 from pyspark.sql import DataFrame
 
 from cohortforge.operators import count_groups, count_stage, ledger
+from cohortforge.plans.diagnoses import diagnosis_counts
+from cohortforge.plans.procedures import procedure_counts
 from cohortforge.study import NOTES, Study, stage
 
+# Counted as they are; diagnoses and procedures are counted step by step.
 COUNTED = (
     "primary_care_depts",
     "dx_code_driver",
@@ -25,14 +28,6 @@ COUNTED = (
     "lab_selection_driver",
     "select_labs",
     "encounters",
-    "dx_primary",
-    "dx_add_secondary",
-    "dx_upsert_admit",
-    "dx_upsert_final_primary",
-    "diagnosis_fact",
-    "procedures_icd",
-    "procedures_cpt_prof",
-    "procedures_cpt_hosp",
     "vitals",
     "latest_social_history",
     "problem_list",
@@ -71,7 +66,8 @@ def qa_ledger(s: Study) -> DataFrame:
         count_groups(s(name), name, words, by, distinct_on)
         for name, (by, distinct_on, words) in GROUPED.items()
     ]
-    return ledger(entries(s, COUNTED) + groups)
+    steps = [diagnosis_counts(s), procedure_counts(s)]
+    return ledger(entries(s, COUNTED) + steps + groups)
 
 
 @stage("Count ledger extract")

@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.functions import harmonize_numeric, in_window, resolve_medication
-from cohortforge.operators import apply_selection, decode, outer_join_details, review_list
+from cohortforge.functions import harmonize_numeric, in_window, resolve_medication, trimmed
+from cohortforge.operators import apply_selection, decode, review_list
 from cohortforge.plans.cohort import RESULT_COLUMNS
 from cohortforge.study import Study, stage
 
@@ -37,7 +37,8 @@ def all_medications(s: Study) -> DataFrame:
     )
     frequency = s.src("ip_frequency").select(F.col("freq_id").alias("hv_discr_freq_id"), "freq_name")
     df = (
-        outer_join_details(orders.join(info, "order_med_id", "left"), given, "order_med_id")
+        orders.join(info, "order_med_id", "left")
+        .join(given, "order_med_id", "left")
         .join(routes, "route_c", "left")
         .join(frequency, "hv_discr_freq_id", "left")
     )
@@ -140,7 +141,7 @@ def all_labs(s: Study) -> DataFrame:
     )
     results = (
         s.src("order_results")
-        .where("ord_value <> ''")
+        .where("ord_value is not null")
         .drop("result_time")
         .join(s("cohort"), "pat_id", "left_semi")
     )
@@ -166,7 +167,7 @@ def all_labs(s: Study) -> DataFrame:
         "order_time",
         "result_time",
         "result_date",
-        F.trim("ord_value").alias("ord_value"),
+        trimmed(F.col("ord_value")).alias("ord_value"),
         "ord_num_value",
         *RESULT_COLUMNS,
         harm.sign.alias("harm_sign"),
@@ -180,7 +181,7 @@ def all_labs(s: Study) -> DataFrame:
 def lab_review_list(s: Study) -> DataFrame:
     return review_list(
         s("all_labs"), ["proc_id", "description", "component_id", "component_name"]
-    ).orderBy(F.asc_nulls_last("component_name"))
+    )
 
 
 @stage("Labs chosen")

@@ -1,10 +1,7 @@
-"""Session settings and the shared folder for staged tables."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Joins carry no broadcast hints: Spark broadcasts a side only when its measured
@@ -27,22 +24,3 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
-
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder staged tables go to: `spark.checkpoint.dir`.
-
-    Unset, a local master gets a fresh temporary folder (tests); a cluster gets
-    None, because no folder is known that every executor can reach, and stages
-    then stay lazy.
-    """
-    try:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-    except PySparkException:
-        folder = None
-    folder = folder or spark.sparkContext.getCheckpointDir()
-    if not folder and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="cohortforge-")
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder

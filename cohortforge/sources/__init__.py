@@ -1,4 +1,4 @@
-from cohortforge.sources.catalog import from_frames, from_parquet, from_tables
+from cohortforge.sources.catalog import blank_is_null, from_frames, from_parquet, from_tables, remembered
 from cohortforge.sources.drivers import (
     DX_CODES,
     LAB_RULES,
@@ -6,7 +6,7 @@ from cohortforge.sources.drivers import (
     MED_SELECTION,
     read_driver,
 )
-from cohortforge.sources.sinks import StageStore, write_csv
+from cohortforge.sources.sinks import TIME_FORMAT, StageStore, write_csv
 
 __all__ = [
     "DX_CODES",
@@ -14,9 +14,12 @@ __all__ = [
     "LAB_SELECTION",
     "MED_SELECTION",
     "StageStore",
+    "TIME_FORMAT",
+    "blank_is_null",
     "from_frames",
     "from_parquet",
     "from_tables",
     "read_driver",
+    "remembered",
     "write_csv",
 ]

@@ -16,15 +16,24 @@ LAB_SELECTION = "proc_id long, description string, component_id long, component_
 
 
 def read_driver(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    """Trimmed rows of a driver file; blank cells are NULL.
+    """Distinct trimmed rows of a driver file; blank cells are NULL.
 
-    The layout's column order rules, as the header's spelling differs by site.
+    The layout's column order rules, as the header's spelling differs by site. A cell may
+    hold line breaks. A row that does not fit the layout stops the read.
     """
-    df = spark.read.csv(path, schema=layout, header=True, enforceSchema=True, escape='"')
+    df = spark.read.csv(
+        path,
+        schema=layout,
+        header=True,
+        enforceSchema=True,
+        escape='"',
+        multiLine=True,
+        mode="FAILFAST",
+    )
     trimmed = [
         F.nullif(F.trim(f.name), F.lit("")).alias(f.name)
         if f.dataType.typeName() == "string"
         else F.col(f.name)
         for f in df.schema.fields
     ]
-    return df.select(*trimmed)
+    return df.select(*trimmed).distinct()

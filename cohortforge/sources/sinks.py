@@ -12,27 +12,36 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 def write_csv(df: DataFrame, path: str) -> None:
     """An extract or review list: quoted CSV with a header, in part files."""
     options = {"header": True, "quoteAll": True, "escape": '"', "emptyValue": ""}
+    options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     formats = {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT}
     df.write.mode("overwrite").options(**options, **formats).csv(path)
 
 
 class StageStore:
-    """Parquet tables under one run folder of the shared folder."""
+    """Parquet tables under one run folder of `folder`.
+
+    On a cluster the folder must be on storage that the driver and all executors share.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
+        if not folder:
+            raise ValueError("a stage store needs a folder that all executors can reach")
         self.spark = spark
         self.root = f"{folder.rstrip('/')}/run-{uuid.uuid4().hex}"
         self.written: list[str] = []
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a stage and return it read back: later plans start from the files."""
+        """Write a stage and return it read back: later plans start from the files.
+
+        Every attempt has a path of its own, so one that failed can be repeated.
+        """
         path = f"{self.root}/{len(self.written):03d}-{name}"
-        df.write.parquet(path)
         self.written.append(path)
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> list[str]:
-        """Delete the stages this run wrote, and nothing else."""
+        """Delete the stages this run wrote and its folder if nothing else is in it."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         dropped = []
@@ -41,4 +50,8 @@ class StageStore:
             if path.getFileSystem(conf).delete(path, True):
                 dropped.append(written)
         self.written = []
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(conf)
+        if files.exists(root) and not len(files.listStatus(root)):
+            files.delete(root, False)
         return dropped

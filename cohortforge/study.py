@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -18,20 +18,26 @@ NOTES: dict[str, str] = {}
 # Read by many later stages, so written once when the study has a store.
 REUSED = (
     "first_dx_date",
+    "coded_lab_pull",
     "rule_positive_events",
     "cohort",
+    "study_id_map",
     "patient_table",
     "encounters",
-    "dx_primary",
-    "dx_add_secondary",
-    "dx_upsert_admit",
-    "dx_upsert_final_primary",
-    "diagnosis_fact",
+    "diagnosis_marks",
     "procedure_fact",
     "all_medications",
     "all_labs",
+    "vitals",
+    "latest_social_history",
+    "latest_family_history",
     "problem_list",
+    "adt_events",
+    "appointments",
     "order_procedures",
+    "micro_comments",
+    "path_comments",
+    "imaging_orders",
     "providers",
     "qa_ledger",
 )
@@ -49,12 +55,24 @@ def stage(note: str) -> Callable[[StageFunction], StageFunction]:
 
 
 class Study:
-    """`study.src(name)` is a source table, `study(name)` a stage's result."""
-
-    def __init__(self, sources: Sources, config: StudyConfig, store: StageStore | None = None):
+    """`study.src(name)` is a source table, `study(name)` a stage's result.
+
+    Without a store every stage is a plan over the sources: good for a look at one stage, too
+    large a plan for a whole study. `keys` are the key maps of an earlier release (see
+    `plans.release`): their ids are kept, and new ones come after them.
+    """
+
+    def __init__(
+        self,
+        sources: Sources,
+        config: StudyConfig,
+        store: StageStore | None = None,
+        keys: Mapping[str, DataFrame] | None = None,
+    ):
         self.src = sources
         self.cfg = config
         self.store = store
+        self.keys = dict(keys or {})
         self._built: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
@@ -65,6 +83,15 @@ class Study:
             self._built[name] = df
         return self._built[name]
 
+    @property
+    def built(self) -> list[str]:
+        """Names of the stages built so far."""
+        return list(self._built)
+
+    def reuse(self, other: Study, names: list[str]) -> None:
+        """Take stages over from a study on the same sources."""
+        self._built.update({name: other._built[name] for name in names})
+
     def release(self) -> list[str]:
         """Forget every stage and drop the tables this study wrote."""
         self._built.clear()

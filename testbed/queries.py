@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from cohortforge import functions as C
 from cohortforge import operators as O
 from cohortforge import sources as S
-from cohortforge.plans.quality import COUNTED, GROUPED
-from cohortforge.session import shared_folder
+from cohortforge.plans.release import export, review, select
 from cohortforge.study import NOTES, STAGES, Study
-from testbed.oracle import AS_OF, HARMONISED, INCOMPLETE, ORACLE, statement, within, years
+from testbed.oracle import AS_OF, HARMONISED, INCOMPLETE, ORACLE, ledger, statement, within, years
 from testbed.sources import CONFIG, study
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,52 +84,17 @@ def query(sql: str) -> Callable[[Callable[[Study, SparkSession], DataFrame]], Qu
 
 # --- count ledger ---------------------------------------------------------
 
-
-def _ledger_sql() -> str:
-    """Stage after stage; a stage without patients has no patient count."""
-    people = {n for n in COUNTED if "pat_id" in ORACLE[n].split("from")[0]} | PERSON_STAGES
-    rows = []
-    for name in COUNTED:
-        count = "count(distinct pat_id)" if name in people - NO_PERSON else "cast(null as bigint)"
-        note = NOTES[name].replace("'", "''")
-        rows.append(
-            f"select '{name}' as table_name, {count} as pat_count, count(*) as total_count,"
-            f" '{note}' as description from st_{name}"
-        )
-    for name, (by, distinct_on, words) in GROUPED.items():
-        total = f"count(distinct {distinct_on})" if distinct_on else "count(*)"
-        rows.append(
-            f"select '{name}', cast(null as bigint), {total}, '{words}' || coalesce({by}, '')"
-            f" from st_{name} group by {by}"
-        )
-    return statement("\nunion all\n".join(rows))
-
-
-PERSON_STAGES = {
-    "cohort",
-    "dx_primary",
-    "dx_add_secondary",
-    "dx_upsert_admit",
-    "dx_upsert_final_primary",
-    "diagnosis_fact",
-    "select_medications",
-    "select_labs",
-    "imaging_orders",
-}
-NO_PERSON = {"encounter_key", "providers"}
-
 for _name in ("qa_ledger", "extract_counts"):
     # the load time is when the query ran, so it cannot be compared
     QUERIES[_name] = lambda spark, sf_dir: study(spark, sf_dir)("qa_ledger").drop("load_time")
-    SQL[_name] = _ledger_sql()
+    SQL[_name] = statement(ledger(NOTES))
 
 
 # --- sources and sinks ----------------------------------------------------
 
 
 def _file(spark: SparkSession, s: Study, name: str) -> str:
-    root = s.store.root if s.store is not None else shared_folder(spark)
-    return f"{root}/files/{name}"
+    return f"{s.store.root}/files/{name}"
 
 
 def _round_trip(spark: SparkSession, s: Study, name: str, layout: str) -> DataFrame:
@@ -140,51 +104,109 @@ def _round_trip(spark: SparkSession, s: Study, name: str, layout: str) -> DataFr
     return S.read_driver(spark, path, layout)
 
 
-@query("select * from dx_code_list")
+@query("select distinct * from dx_code_list")
 def q_load_dx_codes(s, spark):
     return _round_trip(spark, s, "dx_code_list", S.DX_CODES)
 
 
-@query("select * from lab_rule_list")
+@query("select distinct * from lab_rule_list")
 def q_load_lab_rules(s, spark):
     return _round_trip(spark, s, "lab_rule_list", S.LAB_RULES)
 
 
-@query("select * from med_selection_list")
+@query("select distinct * from med_selection_list")
 def q_load_med_selection(s, spark):
     return _round_trip(spark, s, "med_selection_list", S.MED_SELECTION)
 
 
-@query("select * from lab_selection_list")
+@query("select distinct * from lab_selection_list")
 def q_load_lab_selection(s, spark):
     return _round_trip(spark, s, "lab_selection_list", S.LAB_SELECTION)
 
 
 @query("select * from patient")
 def q_staged_table(s, spark):
-    path = _file(spark, s, "staged_patient")
-    s.src("patient").write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return s.store.save(s.src("patient"), "staged_patient")
 
 
-@query(
-    """select icd_type, icd_code, count(*) as n from st_extract_diagnoses group by icd_type, icd_code"""
-)
+def _read_back(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """All columns of a file that `df` was written to; its texts may hold line breaks and quotes."""
+    return spark.read.csv(
+        path, schema=df.schema, header=True, escape='"', multiLine=True, timestampFormat=S.TIME_FORMAT
+    )
+
+
+@query("from st_extract_narratives")
 def q_extract_to_csv(s, spark):
-    """An extract written to files, counted from the files."""
-    path = _file(spark, s, "extract_diagnoses")
-    df = O.check_private(s("extract_diagnoses"))
-    S.write_csv(df, path)
-    back = spark.read.csv(path, schema=df.schema, header=True, escape='"')
-    return back.groupBy("icd_type", "icd_code").agg(F.count("*").alias("n"))
+    """An extract with free text written to files and read back whole."""
+    path = export(s, f"{s.store.root}/files/csv", ["extract_narratives"])[0]
+    return _read_back(spark, s("extract_narratives"), path)
+
+
+@query("from st_extract_microbiology")
+def q_extract_comments_to_csv(s, spark):
+    """The same for an extract with times and comments."""
+    path = export(s, f"{s.store.root}/files/csv", ["extract_microbiology"])[0]
+    return _read_back(spark, s("extract_microbiology"), path)
+
+
+@query("""
+select 'medication' as kind, medication_id as id, cast(null as bigint) as component, count(*) as n
+from st_all_medications
+where medication_id in (select medication_id from st_med_review_list) and medication_id % 2 = 0 group by all
+union all
+select 'lab', proc_id, component_id, count(*) from st_all_labs where component_id % 2 = 0 group by all""")
+def q_review_and_select(s, spark):
+    """Lists written for review, some rows chosen from the files, and the study with that choice."""
+    meds, labs, _ = review(s, f"{s.store.root}/files/review")
+    read = {"header": True, "escape": '"', "multiLine": True}
+    chosen_meds = spark.read.csv(meds, **read).where("medication_id % 2 = 0").drop("total")
+    chosen_labs = spark.read.csv(labs, **read).where("component_id % 2 = 0").drop("total")
+    paths = [f"{s.store.root}/files/chosen_{k}" for k in ("meds", "labs")]
+    S.write_csv(chosen_meds.select(*_names(S.MED_SELECTION)), paths[0])
+    S.write_csv(chosen_labs.select(*_names(S.LAB_SELECTION)), paths[1])
+    chosen = select(s, spark, *paths)
+    drug = chosen("select_medications").groupBy(F.col("medication_id").alias("id")).count()
+    lab = chosen("select_labs").groupBy(F.col("proc_id").alias("id"), "component_id").count()
+    parts = [
+        drug.select(F.lit("medication"), "id", F.lit(None).cast("long"), "count"),
+        lab.select(F.lit("lab"), "id", "component_id", "count"),
+    ]
+    return parts[0].union(parts[1]).toDF("kind", "id", "component", "n")
+
+
+def _names(layout: str) -> list[str]:
+    return [field.split()[0] for field in layout.split(", ")]
+
+
+@query("""
+with earlier as (
+  select pat_id, row_number() over (order by sha256('testbed' || pat_id), pat_id) as study_id
+  from st_adult_filter where pat_id in (select cast(c_custkey as varchar) from customer where c_nationkey < 12)),
+fresh as (select distinct pat_id from st_adult_filter where pat_id not in (select pat_id from earlier))
+select pat_id, study_id from earlier
+union all
+select pat_id, (select count(*) from earlier)
+  + row_number() over (order by sha256('testbed' || pat_id), pat_id) from fresh""")
+def q_study_id_map_grown(s, spark):
+    """Study ids after a release with fewer patients: theirs are kept, new ones follow."""
+    old = s.src.table("customer").where("c_nationkey < 12")
+    old = s("adult_filter").join(
+        old.select(F.col("c_custkey").cast("string").alias("pat_id")), "pat_id", "left_semi"
+    )
+    earlier = O.dense_key(old, "pat_id", "study_id", s.cfg.salt)
+    later = Study(s.src, s.cfg, keys={"study_id": earlier})
+    later.reuse(s, [name for name in s.built if name != "study_id_map"])
+    return later("study_id_map").select("pat_id", "study_id")
 
 
 # --- result, address and code columns on whole tables ---------------------
 
 
 @query(f"""
-select o.ord_value, harm_sign, harm_text_val, cast(harm_num_val as double) as harm_num_val, count(*) as n
-from (select o.ord_value, {HARMONISED} from order_results o) o group by all""")
+select ord_value, harm_sign, harm_text_val, cast(harm_num_val as double) as harm_num_val, count(*) as n
+from (select ord_value, {HARMONISED}
+  from (select * replace (nullif(ord_value, '') as ord_value) from order_results)) group by all""")
 def q_harmonize_numeric(s, spark):
     harm = C.harmonize_numeric(F.col("ord_value"), F.col("ord_num_value"))
     return (
@@ -204,7 +226,7 @@ def q_harmonize_numeric(s, spark):
 select ord_value, case when ord_value like '%\\%' escape '\\'
     then cast(regexp_extract(ord_value, '[0-9]+([.][0-9]+)?') as double)
   end as percent, count(*) as n
-from order_results group by all""")
+from (select * replace (nullif(ord_value, '') as ord_value) from order_results) group by all""")
 def q_strict_decimals(s, spark):
     harm = C.harmonize_numeric(F.col("ord_value"), F.col("ord_num_value"), strict_decimals=True)
     percent = F.when(F.col("ord_value").endswith("%"), harm.number)
@@ -216,7 +238,7 @@ def q_strict_decimals(s, spark):
     )
 
 
-@query(f"select pat_id, {INCOMPLETE} from patient pat")
+@query(f"select pat_id, {INCOMPLETE} from patient")
 def q_incomplete_address(s, spark):
     address = C.incomplete_address(F.col("add_line_1"), F.col("city"), F.col("zip"))
     return s.src("patient").select("pat_id", address.alias("incomplete_address"))

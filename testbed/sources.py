@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
+import tempfile
 import zlib
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortforge import Study, StudyConfig
-from cohortforge.session import configure, shared_folder
-from cohortforge.sources import StageStore
+from cohortforge.session import configure
+from cohortforge.sources import StageStore, blank_is_null
 from testbed.views import BASE_TABLES, VIEWS, view_sql
 
 CONFIG = StudyConfig(
@@ -29,6 +30,7 @@ class ViewSources:
         self.spark = spark
         tag = f"t{zlib.crc32(sf_dir.encode()):08x}"
         self.names = {t: f"{tag}_{t}" for t in BASE_TABLES}
+        self.frames: dict[str, DataFrame] = {}
         self.views = {v: f"{tag}_v_{v}" for v in VIEWS}
         for table, view in self.names.items():
             spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(view)
@@ -38,11 +40,19 @@ class ViewSources:
         return self.spark.table(self.names[name])
 
     def __call__(self, name: str) -> DataFrame:
-        sql = view_sql(name, "spark")
-        for other in re.findall(r"\bfrom (edg_current_icd\d+)", sql):
-            self(other).createOrReplaceTempView(self.views[other])
-            sql = re.sub(rf"\bfrom {other}\b", f"from {self.views[other]}", sql)
-        return self.spark.sql(sql.format(**self.names))
+        if name not in self.frames:
+            sql = view_sql(name, "spark")
+            for other in re.findall(r"\bfrom (edg_current_icd\d+)", sql):
+                self(other).createOrReplaceTempView(self.views[other])
+                sql = re.sub(rf"\bfrom {other}\b", f"from {self.views[other]}", sql)
+            self.frames[name] = blank_is_null(self.spark.sql(sql.format(**self.names)))
+        return self.frames[name]
+
+
+def stage_folder(spark: SparkSession) -> str:
+    """The folder `spark.checkpoint.dir` names; a fresh one where tests left it unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or tempfile.mkdtemp(prefix="cohortforge-")
 
 
 _studies: dict[tuple[str, str], Study] = {}
@@ -53,7 +63,6 @@ def study(spark: SparkSession, sf_dir: str) -> Study:
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _studies:
-        folder = shared_folder(spark)
-        store = StageStore(spark, folder) if folder else None
+        store = StageStore(spark, stage_folder(spark))
         _studies[key] = Study(ViewSources(spark, sf_dir), CONFIG, store)
     return _studies[key]

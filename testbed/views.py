@@ -188,7 +188,7 @@ select cast(o_custkey as string) as pat_id, o_orderkey as pat_enc_csn_id, o_orde
   case when o_orderstatus = 'F' then o_orderdate + interval 10 hour end as hosp_admsn_time,
   case when o_orderstatus = 'F' then o_orderdate + interval 80 hour end as hosp_dischrg_time,
   case when o_orderpriority = '3-MEDIUM' then null else o_orderkey % 7 end as visit_fc,
-  nullif(o_orderpriority, '5-LOW') as enc_type_c,
+  case o_orderpriority when '5-LOW' then '' when '1-URGENT' then null else o_orderpriority end as enc_type_c,
   o_orderkey % 120 as department_id,
   cast(o_orderkey % 120 as string) as visit_prov_id,
   o_orderkey % 5 as appt_status_c,
@@ -332,7 +332,8 @@ select l_orderkey as order_proc_id, cast(o_custkey as string) as pat_id, l_order
     when 6 then cast(cast(l_quantity as int) as string) || '.5%'
     when 7 then '12-19-08 6:45AM' when 8 then cast(cast(l_quantity as int) as string)
     when 9 then 'NEGATIVE' when 10 then '>10,' || cast(100 + cast(l_quantity as int) as string)
-    when 11 then '< 20 copies' else null end as ord_value,
+    when 11 then '< 20 copies' else case l_suppkey % 3 when 0 then '' when 1 then '  ' else null end
+    end as ord_value,
   cast(case when (l_partkey + l_linenumber) % 13 in (6, 8) then cast(l_quantity as int)
     else 9999999 end as decimal(20, 10)) as ord_num_value,
   'copies/mL' as reference_unit, 'below ' || cast(l_linenumber as string) as ref_normal_vals,
@@ -385,14 +386,14 @@ select conv_id as order_id, cast(turn as int) as line_comp,
 from {conversations}"""
 
 VIEWS["order_res_comment"] = """
-select doc_id as order_id, cast(1 + n_chars % 7 as int) as line,
+select o_orderkey as order_id, cast(1 + n_chars % 7 as int) as line,
   case when n_chars < 40 then ' ' else text end as results_cmt,
   cast(n_chars % 3 as int) as line_comment
-from {documents}"""
+from {documents} join {orders} on o_custkey = doc_id + 1"""
 
 VIEWS["order_narrative"] = """
-select doc_id as order_proc_id, cast(1 + n_chars % 4 as int) as line, text as narrative
-from {documents}
+select o_orderkey as order_proc_id, cast(1 + n_chars % 4 as int) as line, text as narrative
+from {documents} join {orders} on o_custkey = doc_id + 1
 union all
 select conv_id as order_proc_id, cast(turn + 5 as int) as line,
   case when role = 'user' then text else ' ' end as narrative
@@ -401,7 +402,8 @@ from {conversations}"""
 VIEWS["order_impression"] = """
 select conv_id as order_proc_id, cast(turn as int) as line, text as impression from {conversations}
 union all
-select doc_id as order_proc_id, 9 as line, source || ' ' || text as impression from {documents}"""
+select o_orderkey as order_proc_id, 9 as line, source || ' ' || text as impression
+from {documents} join {orders} on o_custkey = doc_id + 1"""
 
 VIEWS["order_sensitivity"] = """
 select l_orderkey as order_proc_id, l_linenumber as line,
@@ -445,7 +447,8 @@ select o_orderkey as hsp_account_id, cast(o_custkey as string) as pat_id from {o
 VIEWS["hsp_transactions"] = """
 select l_orderkey * 10 + l_linenumber as tx_id, l_orderkey as hsp_account_id, l_orderkey as pat_enc_csn_id,
   l_shipdate as service_date,
-  case when l_linestatus = 'F' then 'J' || cast(1000 + l_partkey as string) || 'XX' end as hcpcs_code,
+  case when l_linestatus = 'F' then 'J' || cast(1000 + l_partkey as string) || 'XX'
+    when l_tax < 0.04 then '' end as hcpcs_code,
   case when l_discount < 0.02 then cast(l_partkey as string)
     else cast(10000 + l_partkey as string) end as cpt_code,
   cast(l_suppkey as string) as performing_prov_id, l_partkey as proc_id,

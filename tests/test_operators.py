@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortforge import operators as O
-from cohortforge.plans.diagnoses import FIVE_KEYS, FLAGS
+from cohortforge.operators.profile import counted_median
+from cohortforge.plans.diagnoses import FIVE_KEYS, FLAGS, diagnosis_counts
 from cohortforge.study import Study
 from testbed.sources import CONFIG, study
 
@@ -64,11 +65,26 @@ def test_label_cohort_partitions_keys(spark):
     assert pairs(got) == {("x", "a"), ("y", "both"), ("z", "b")}
 
 
-def test_outer_join_details(spark):
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
-    right = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "k int, w string")
-    got = O.outer_join_details(left, right, "k").select("k", "v", "w")
-    assert pairs(got) == pairs(left.join(right, "k", "left").select("k", "v", "w"))
+def test_count_steps_against_plain_counts(spark):
+    rows = [("a", 1, 2), ("a", 0, 1), ("b", 0, 1), (None, 1, 1), ("c", 0, 0)]
+    df = spark.createDataFrame(rows, "pat_id string, x int, y int")
+    got = O.count_steps(df, {"one": ("x", "first"), "two": ("y", "second")})
+    assert pairs(got) == {("one", 1, 2, "first"), ("two", 2, 5, "second")}
+    empty = O.count_steps(df.limit(0), {"one": ("x", "first")})
+    assert pairs(empty) == {("one", 0, 0, "first")}
+
+
+def test_median_of_a_heavy_tail_ranks_a_small_slice(spark):
+    """One far outlier leaves the others in many slices, and only one of them is ranked."""
+    rng = random.Random(9)
+    values = [rng.random() for _ in range(20_000)] + [1e300, -1e300, 5.0]
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
+    counted = df.groupBy("g", "v").agg(F.count("*").alias("n"))
+    got = counted_median(counted, "g", "v", "n").first()
+    assert got.median_value == statistics.median(values)
+    cuts = counted.agg(F.percentile_approx("v", [k / 64 for k in range(1, 64)], 1280)).first()[0]
+    largest = max(sum(a <= v < b for v in values) for a, b in zip(cuts, cuts[1:]))
+    assert largest < len(values) / 32
 
 
 def test_upsert_is_idempotent_and_ignores_null_keys(spark):
@@ -114,3 +130,11 @@ def test_study_without_store_stays_lazy(spark, sf_dir):
     stored = study(spark, sf_dir)
     lazy = Study(stored.src, CONFIG)
     assert pairs(lazy("cohort_counts")) == pairs(stored("cohort_counts"))
+
+
+def test_step_counts_equal_the_steps(spark, sf_dir):
+    s = study(spark, sf_dir)
+    for row in diagnosis_counts(s).collect():
+        table = s(row.table_name)
+        assert row.total_count == table.count()
+        assert row.pat_count == table.select("pat_id").distinct().count()
