@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from cohortforge.llm.shared import bitmap, may_hold, staged, text_slices
 from cohortforge.llm.words import ngram_hashes, word_hashes
 
-SEED = 4  # words of a seed
+SEED = 3  # words of a seed
 SPAN = 2  # of so many seeds in a row of an item, the rarest is looked for
 MATCH, MISMATCH, GAP = 2, -1, -1
-ALIGNED = 0.5  # share of a whole item's score from which a document is contaminated
+ALIGNED = 0.4  # share of a whole item's score from which a document is contaminated
 
 GRAMS = "id long, gram long, pos int, words int"
 
@@ -27,7 +27,7 @@ def _grams(batches: Iterable[pa.RecordBatch], held: np.ndarray | None) -> Iterat
         for a, b in text_slices(batch.column(1)):
             part = batch.slice(a, b - a)
             ids = part.column(0).to_numpy(zero_copy_only=False)
-            hashes, starts = word_hashes(part.column(1).to_pylist())
+            hashes, starts = word_hashes(part.column(1).to_pylist(), marks=False)
             owner = np.repeat(np.arange(len(ids)), np.diff(starts))
             grams = ngram_hashes(hashes, SEED)
             at = np.flatnonzero(owner[: len(grams)] == owner[SEED - 1 :]) if len(grams) else np.empty(0, int)
@@ -105,9 +105,9 @@ def _align(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.Recor
     for batch in batches:
         for a, b in text_slices(batch.column(1)):
             rows = batch.slice(a, b - a).to_pylist()
-            hashes, starts = word_hashes([r["text"] for r in rows])
+            hashes, starts = word_hashes([r["text"] for r in rows], marks=False)
             names = {p["item_id"]: p["item"] for r in rows for p in r["pairs"]}
-            item_hashes, item_starts = word_hashes(list(names.values()))
+            item_hashes, item_starts = word_hashes(list(names.values()), marks=False)
             place = {i: (item_starts[k], item_starts[k + 1]) for k, i in enumerate(names)}
             out = []
             for k, row in enumerate(rows):
@@ -137,8 +137,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = ALIGNED)
     """Pairs of a document and a benchmark item it contains, copied or edited.
 
     doc_id, item_id, score (share of the score of a whole copy), start_word and end_word (the
-    aligned words of the document, end exclusive), for scores of `least` up. A seed is `SEED`
-    words; an item of fewer words is never found, null or empty ones neither. Every stretch of
+    aligned words of the document, end exclusive), for scores of `least` up. Words are compared
+    without case and ASCII punctuation. A seed is `SEED` words; an item of fewer words is never found, null or empty ones neither. Every stretch of
     `SEED + SPAN - 1` unchanged words gives a seed. Documents and items without an id are left out;
     rows that repeat an id count as one, with the best score. Empty tables give an empty result.
     """

@@ -6,12 +6,15 @@ return, with A-Z lower-cased; in UTF-8 those bytes are never part of another cha
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 
 # The 64-bit golden ratio and the multipliers of splitmix64, a public finaliser.
 GOLDEN, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 BASE = 0x5851F42D4C957F2D
 STEP_SEED = 20240229
+NO_MARKS = bytes(32 if chr(b) in string.punctuation else b for b in range(256))
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -22,12 +25,15 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str | None], marks: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words of all texts in order, and each text's first place (and the end).
 
-    A word's hash is a polynomial in its bytes, taken from running sums over all bytes.
+    A word's hash is a polynomial in its bytes, taken from running sums over all bytes. Without
+    `marks`, ASCII punctuation separates words like white space.
     """
     raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
+    if not marks:
+        raw = [t.translate(NO_MARKS) for t in raw]
     lengths = np.fromiter(map(len, raw), np.int64, len(raw))
     ends = np.cumsum(lengths + 1)  # a space after each text keeps words apart
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
