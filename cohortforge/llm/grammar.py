@@ -256,7 +256,9 @@ def write(docs: DataFrame, path: str, folder: str | None = None) -> DataFrame:
     repeat an id are ordered by text. An empty table has an empty manifest.
     """
     folder = folder or new_path(docs.sparkSession, "shards")
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id, or of none, are cut where their texts differ early on
+    rows = docs.select("doc_id", "text", F.substring("text", 1, 64).alias("start"))
+    ordered = rows.repartitionByRange("doc_id", "start").sortWithinPartitions("doc_id", "text")
     manifest = staged(ordered.mapInArrow(partial(_write, path=path, folder=folder), MANIFEST), "manifest")
     # one row a task: the window holds as many rows as there were partitions
     parts = manifest.groupBy("part").agg(F.sum("tokens").alias("in_part"))

@@ -13,6 +13,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -194,7 +195,7 @@ def _predict(batches: Iterable[pa.RecordBatch], model: LanguageModel | None, tex
         for a, b in text_slices(batch.column(text)):
             part = batch.slice(a, b - a)
             texts = part.column(text).to_pylist()
-            lettered = pa.compute.match_substring_regex(part.column(text), LETTERS).to_pylist()
+            lettered = pc.match_substring_regex(part.column(text), LETTERS).to_pylist()
             names, scores = [UNDETERMINED] * len(texts), np.ones(len(texts))
             rows = [k for k, yes in enumerate(lettered) if yes] if model else []
             if rows:

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def group_bounds(keys: np.ndarray) -> np.ndarray:
 
 def text_slices(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column that hold about `most_bytes` each, one row at least."""
-    ends = np.cumsum([0 if n is None else n for n in pa.compute.binary_length(column).to_pylist()])
+    ends = np.cumsum([0 if n is None else n for n in pc.binary_length(column).to_pylist()])
     start, base = 0, 0
     while start < len(ends):
         stop = max(start + 1, int(np.searchsorted(ends, base + most_bytes, "right")))
