@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from cohortforge.llm.shared import staged
 
 NOT_TERM = r"[^\p{L}\p{N}]+"
-SUBSETS = 8  # of each rate
-RATES = (128, 1024)
+SUBSETS = 24  # of each rate
+RATES = (256, 2048)
 LEAST_DOCS = 2  # documents a term must occur in at least
 MOST_SHARE = 0.25  # share of all documents it may occur in
 BUCKET_BITS = 9  # documents whose ids differ in these low bits only are ordered in one task
@@ -105,16 +105,21 @@ def edited_text(text: Column, following_text: Column) -> Column:
     return F.concat(kept, F.substr(F.coalesce(following_text, F.lit("")), F.lit(1), half))
 
 
-def fingerprint(terms: Column, text_hash: Column) -> Column:
-    """The subsets' hashes, joined; a text without a term in them has its own hash instead."""
+def subsets_of(term: Column) -> Column:
+    """The subsets a term is in, those of the second rate counted on from the first's."""
+    found = [
+        F.when(subset(term, level) < SUBSETS, subset(term, level) + level * SUBSETS)
+        for level in range(len(RATES))
+    ]
+    return F.filter(F.array(*found), lambda k: k.isNotNull())
 
-    def one(level: int, k: int) -> Column:
-        own = F.sort_array(F.filter(terms, lambda h: subset(h, level) == k))
-        digest = F.substr(F.sha1(F.array_join(F.transform(own, lambda h: h.cast("string")), ",")), F.lit(1), F.lit(8))
-        return F.when(F.size(own) > 0, digest).otherwise(F.lit(NONE))
 
-    parts = [one(level, k) for level in range(len(RATES)) for k in range(SUBSETS)]
-    return F.when(F.size(terms) > 0, F.concat_ws("-", *parts)).otherwise(F.concat(F.lit("text:"), F.hex(text_hash)))
+def fingerprint(digests: Column, text_hash: Column) -> Column:
+    """The subsets' hashes, joined; a text without a term in any has its own hash instead."""
+    every = F.sequence(F.lit(0).cast("long"), F.lit(len(RATES) * SUBSETS - 1).cast("long"))
+    parts = F.transform(every, lambda k: F.coalesce(F.try_element_at(digests, k), F.lit(NONE)))
+    own = F.concat(F.lit("text:"), F.hex(text_hash))
+    return F.when(F.size(digests) > 0, F.array_join(parts, "-")).otherwise(own)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -147,14 +152,23 @@ def fingerprints(texts: DataFrame, terms: DataFrame, columns: dict[str, tuple[st
 
     every = [of_column(k, terms_of) for k, (terms_of, _) in enumerate(columns.values())]
     long = texts.select("row", F.explode(F.concat(*every)).alias("t")).select("row", "t.term", "t.which")
-    kept = long.join(terms, "term").groupBy("row").agg(
-        *(F.collect_set(F.when(F.col("which") == k, F.col("term"))).alias(f"_{k}") for k in range(len(columns)))
+    in_subsets = long.join(terms, "term").select(
+        "row", "which", "term", F.explode(subsets_of(F.col("term"))).alias("subset")
     )
-    out = texts.join(kept, "row", "left")
+    # dealt by row once, for the subsets' terms and for the rows' subsets
+    sorted_terms = F.transform(F.sort_array(F.collect_set("term")), lambda h: h.cast("string"))
+    digest = F.substr(F.sha1(F.array_join(sorted_terms, ",")), F.lit(1), F.lit(8))
+    hashed = in_subsets.repartition("row").groupBy("row", "which", "subset").agg(digest.alias("digest"))
+    found = hashed.groupBy("row").agg(F.collect_list(F.struct("which", "subset", "digest")).alias("found"))
+    out = texts.join(found, "row", "left")
+
+    def of_which(k: int) -> Column:
+        own = F.filter(F.coalesce("found", F.array()), lambda d: d["which"] == k)
+        return F.map_from_entries(F.transform(own, lambda d: F.struct(d["subset"], d["digest"])))
+
     for k, (name, (_, text_hash)) in enumerate(columns.items()):
-        own = F.coalesce(f"_{k}", F.array().cast("array<bigint>"))
-        out = out.withColumn(name, fingerprint(own, F.col(text_hash)))
-    return out.drop(*(f"_{k}" for k in range(len(columns))))
+        out = out.withColumn(name, fingerprint(of_which(k), F.col(text_hash)))
+    return out.drop("found")
 
 
 def compare(docs: DataFrame) -> DataFrame:
