@@ -19,9 +19,14 @@ ODD_SPACE = re.compile(r"[^\S \n]")
 KEPT = 300_000  # chunks remembered a generation
 
 
+def clean_spaces(text: str) -> bool:
+    """Whether every space stands before a non-space, and other white space is line feeds only."""
+    return not ("  " in text or " \n" in text or text.endswith(" ") or ODD_SPACE.search(text))
+
+
 def cut(text: str) -> list[str]:
     """Chunks that join to `text`; what BPE gives for each, joined, is what it gives for the text."""
-    if ODD_SPACE.search(text) or "  " in text or " \n" in text or text.endswith(" "):
+    if not clean_spaces(text):
         return PIECES.findall(text)
     first, *others = text.split(" ")
     return [first, *[" " + x for x in others]] if first else [" " + x for x in others]

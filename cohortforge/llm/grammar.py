@@ -21,13 +21,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortforge.llm.bpe import encode_all
-from cohortforge.llm.chunks import ChunkMemory
+from cohortforge.llm.chunks import ChunkMemory, clean_spaces
 from cohortforge.llm.shared import new_path, staged, text_slices
 
 MAGIC = b"repair01"
@@ -36,11 +36,14 @@ SHARD = 1_500_000  # tokens after which a shard is closed; a document is never s
 FREQUENT = 64  # occurrences from which a pair is replaced
 PAIRS = 1024  # pairs replaced in a round
 ROUNDS = 4
-BINS = 1 << 20
+TOGETHER = 4000  # words joined for a call of the library
+GATHERED = 50_000  # words whose ids are put together at once
+BINS = 1 << 18
+SLICE = 8 << 20  # bytes of text whose distinct chunks are encoded together
 
 
 class LibraryEncoder:
-    """Ids of chunks by the tokenizers library, most of them in one call."""
+    """Ids of texts by the tokenizers library, each distinct chunk of a batch of texts once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,89 +52,132 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.special = {token.content: i for i, token in added.items()}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         # a letter of the vocabulary is a byte
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
-        self.memory = ChunkMemory(self.chunks)
-
-    def chunks(self, chunks: list[str]) -> list[bytes]:
-        """Chunks that start with a space and a non-space encode alike when joined."""
-        joins = [c[:1] == " " and not c[1:2].isspace() and c != " " for c in chunks]
-        raw = [c.encode() for c, j in zip(chunks, joins) if j]
-        whole = self.tokenizer.encode_batch_fast([b"".join(raw).decode()], add_special_tokens=False)[0]
-        ids = np.array(whole.ids, "<u4")
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        ends = 4 * (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1)
-        data, ends = ids.tobytes(), ends.tolist()
-        joined = [data[a:b] for a, b in zip([0, *ends], ends)]
-        alone = [c for c, j in zip(chunks, joins) if not j]
-        if not alone:
-            return joined
-        others = self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)
-        first, second = iter(joined), (np.array(e.ids, "<u4").tobytes() for e in others)
-        return [next(first if j else second) for j in joins]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """All ids of each text as little-endian 32-bit integers."""
-        return encode_all(texts, self.special, self.memory)
-
-
-def winners(rank: np.ndarray) -> np.ndarray:
-    """Which candidate pairs (by rank, -1: none) are replaced: no two overlap, lower ranks first.
+        self.memory = ChunkMemory(self.words)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts, straight from the library."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, each with a space before it, as bytes.
+
+        Joined, they encode as they do alone: the library never lets a piece run across a space
+        between two other characters. Where a word's ids end follows from their lengths in bytes.
+        """
+        out = []
+        for at in range(0, len(words), TOGETHER):
+            part = words[at : at + TOGETHER]
+            ids = self.whole([" " + " ".join(part)])[0]
+            sizes = np.fromiter((len(w.encode()) for w in part), np.int64, len(part))
+            places = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes + 1)) + 1
+            data, ends = ids.tobytes(), (4 * places).tolist()
+            out += [data[a:b] for a, b in zip([0, *ends], ends)]
+        return out
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """All ids of each text. Texts with other white space, or special tokens, go to the library whole."""
+        texts = [t or "" for t in texts]
+        plain = [clean_spaces(t) and not any(s in t for s in self.special) for t in texts]
+        others = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
+        parts = pc.split_pattern(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()), " ")
+        mine = iter(self.of_words(parts.offsets.to_numpy(), parts.values))
+        return [next(mine if p else others) for p in plain]
+
+    def of_words(self, starts: np.ndarray, words: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of texts that have been split at spaces: the first word of each has none before it."""
+        if len(starts) < 2:
+            return
+        coded = words.dictionary_encode()
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        distinct = coded.dictionary.to_pylist()
+        # only the first word of a text can be empty or start with a line feed
+        later = [w if w and w[0] != "\n" else "." for w in distinct]
+        self.memory.learn(set(later))
+        first = starts[:-1]
+        alone = self.whole(words.take(pa.array(first)).to_pylist())
+        known = [*map(self.memory.new.__getitem__, later), *(a.tobytes() for a in alone)]
+        which[first] = len(distinct) + np.arange(len(first))
+        ids = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        begin = np.cumsum(sizes) - sizes
+        low = 0
+        while low < len(first):  # some texts at a time, so the arrays stay in the cache
+            high = max(low + 1, int(np.searchsorted(starts, starts[low] + GATHERED, "right")) - 1)
+            own = which[starts[low] : starts[high]]
+            length = sizes[own]
+            ends = np.cumsum(length)
+            out = ids[np.repeat(begin[own] - (ends - length), length) + np.arange(ends[-1])]
+            bounds = np.concatenate([[0], ends])[starts[low : high + 1] - starts[low]]
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                yield out[a:b]
+            low = high
+
+
+def winners(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Of the pairs at ascending places, those replaced: no two overlap, lower ranks first.
 
     In a run of one pair, as in aaaa, every other one.
     """
-    n = len(rank)
-    none = np.iinfo(rank.dtype).max
-    r = np.where(rank < 0, none, rank)
-    before, after = np.concatenate([[none], r[:-1]]), np.concatenate([r[1:], [none]])
-    at = np.arange(n)
-    run_start = np.maximum.accumulate(np.where(r != before, at, 0))
-    even = (at - run_start) % 2 == 0
-    good = (rank >= 0) & even & (r <= before) & (r <= after)
+    none = np.iinfo(np.int64).max
+    close = at[1:] == at[:-1] + 1
+    before = np.concatenate([[none], np.where(close, rank[:-1], none)])
+    after = np.concatenate([np.where(close, rank[1:], none), [none]])
+    place = np.arange(len(at))
+    run_start = np.maximum.accumulate(np.where(rank == before, 0, place))
+    good = ((place - run_start) % 2 == 0) & (rank <= before) & (rank <= after)
     # the start of a run of a better pair may touch the end of a run just chosen
-    touch = np.concatenate([[False], good[:-1]])
-    return good & ~(touch & good)
+    good[1:] &= ~(good[:-1] & close)
+    return good
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, starts of the documents in them, rules) of the ids of a shard."""
+    """(symbols, starts of the documents in them, rules) of the ids of a shard.
+
+    Pairs are counted in hash bins; of a bin's pairs one is looked at in a round.
+    """
     symbols, rules = ids.astype(np.int64), np.empty((0, 2), np.int64)
     for _ in range(ROUNDS):
         if len(symbols) < 2:
             break
-        left, right = symbols[:-1], symbols[1:]
-        inside = np.ones(len(left), bool)
+        key = (symbols[:-1] << 20) | symbols[1:]
+        bins = ((key * 0x9E3779B97F4A7C1) >> 40) & (BINS - 1)
         edges = starts[1:-1] - 1
-        inside[edges[(edges >= 0) & (edges < len(left))]] = False
-        key = (left << 20) | right
-        bins = ((key * 0x9E3779B97F4A7C1) >> 30) & (BINS - 1)
-        counts = np.bincount(bins[inside], minlength=BINS)
+        bins[edges[(edges >= 0) & (edges < len(key))]] = BINS  # over the end of a document
+        counts = np.bincount(bins, minlength=BINS + 1)
+        counts[BINS] = 0
         busy = np.flatnonzero(counts >= FREQUENT)
-        if len(busy) > 2 * PAIRS:
-            busy = busy[np.argsort(-counts[busy], kind="stable")[: 2 * PAIRS]]
-        chosen = np.zeros(BINS, bool)
-        chosen[busy] = True
-        at = np.flatnonzero(chosen[bins] & inside)
-        pairs, which, often = np.unique(key[at], return_inverse=True, return_counts=True)
+        busy = busy[np.argsort(-counts[busy], kind="stable")[: 2 * PAIRS]]
+        number = np.full(BINS + 1, -1, np.int64)
+        number[busy] = np.arange(len(busy))
+        which = number[bins]
+        at = np.flatnonzero(which >= 0)
+        which = which[at]
+        pair = np.zeros(len(busy), np.int64)
+        pair[which] = key[at]
+        same = pair[which] == key[at]
+        at, which = at[same], which[same]
+        often = np.bincount(which, minlength=len(busy))
         order = np.argsort(-often, kind="stable")[:PAIRS]
         order = order[often[order] >= FREQUENT]
         if not len(order):
             break
-        number = np.full(len(pairs), -1, np.int64)
-        number[order] = np.arange(len(order))
-        rank = np.full(len(left), -1, np.int64)
-        rank[at] = number[which]
-        replaced = np.flatnonzero(winners(rank))
-        new = symbols.copy()
-        new[replaced] = terminals + len(rules) + rank[replaced]
+        rank = np.full(len(busy), -1, np.int64)
+        rank[order] = np.arange(len(order))
+        rank = rank[which]
+        at, rank = at[rank >= 0], rank[rank >= 0]
+        won = winners(at, rank)
+        at, rank = at[won], rank[won]
+        symbols[at] = terminals + len(rules) + rank
         keep = np.ones(len(symbols), bool)
-        keep[replaced + 1] = False
-        rules = np.concatenate([rules, np.stack([pairs[order] >> 20, pairs[order] & 0xFFFFF], axis=1)])
-        gone = np.concatenate([[0], np.cumsum(~keep)])
-        starts, symbols = starts - gone[starts], new[keep]
+        keep[at + 1] = False
+        rules = np.concatenate([rules, np.stack([pair[order] >> 20, pair[order] & 0xFFFFF], axis=1)])
+        starts = starts - np.searchsorted(at + 1, starts)
+        symbols = symbols[keep]
     return symbols, starts, rules
 
 
@@ -143,10 +189,10 @@ def lengths_of(rules: np.ndarray, terminals: int) -> np.ndarray:
     return out[terminals:]
 
 
-def write_shard(out, docs: list[int | None], tokens: list[bytes], terminals: int) -> None:
+def write_shard(out, docs: list[int | None], tokens: list[np.ndarray], terminals: int) -> None:
     """One shard file to an open stream."""
-    ids = np.frombuffer(b"".join(tokens), "<u4")
-    starts = np.concatenate([[0], np.cumsum([len(t) // 4 for t in tokens])]).astype(np.int64)
+    ids = np.concatenate(tokens)
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
     symbols, starts, rules = compress(ids, starts, terminals)
     out.write(MAGIC)
     out.write(np.array([len(docs), len(rules), len(symbols), terminals], "<i8").tobytes())
@@ -208,6 +254,20 @@ class Shard:
         return self.expand(symbols[a:b])[first - before : stop - before]
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in tables of about `SLICE` bytes of text, across batches; one row at least."""
+    pending, held = [], 0
+    for batch in batches:
+        for a, b in text_slices(batch.column(1), SLICE // 4):
+            pending.append(batch.slice(a, b - a))
+            held += pc.sum(pc.binary_length(pending[-1].column(1))).as_py() or 0
+            if held >= SLICE:
+                yield pa.Table.from_batches(pending)
+                pending, held = [], 0
+    if pending:
+        yield pa.Table.from_batches(pending)
+
+
 MANIFEST = "part int, seq int, path string, docs long, tokens long"
 
 
@@ -220,9 +280,9 @@ def _write(batches: Iterable[pa.RecordBatch], path: str, folder: str) -> Iterato
     system, root = fs.FileSystem.from_uri(folder)
     system.create_dir(root, recursive=True)
     docs: list[int | None] = []
-    tokens: list[bytes] = []
+    tokens: list[np.ndarray] = []
     held, seq = 0, 0
-    end = np.array([END], "<u4").tobytes()
+    end = np.array([END], "<u4")
 
     def close() -> pa.RecordBatch:
         name = f"{part:06d}-{seq:06d}-{uuid.uuid4().hex}.repair"
@@ -234,16 +294,14 @@ def _write(batches: Iterable[pa.RecordBatch], path: str, folder: str) -> Iterato
             [pa.array(v, t) for v, t in zip(row, kinds)], ["part", "seq", "path", "docs", "tokens"]
         )
 
-    for batch in batches:
-        for a, b in text_slices(batch.column(1), 1 << 21):
-            rows = batch.slice(a, b - a)
-            for doc, ids in zip(rows.column(0).to_pylist(), encoder.encode(rows.column(1).to_pylist())):
-                docs.append(doc)
-                tokens.append(ids + end)
-                held += len(ids) // 4 + 1
-                if held >= SHARD:
-                    yield close()
-                    docs, tokens, held, seq = [], [], 0, seq + 1
+    for rows in slices(batches):
+        for doc, ids in zip(rows.column(0).to_pylist(), encoder.encode(rows.column(1).to_pylist())):
+            docs.append(doc)
+            tokens.append(np.concatenate([ids, end]))
+            held += len(ids) + 1
+            if held >= SHARD:
+                yield close()
+                docs, tokens, held, seq = [], [], 0, seq + 1
     if docs:
         yield close()
 
