@@ -248,7 +248,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     of at most `NODE` documents are compared exhaustively by sketch, and what agrees is confirmed
     on full sets, once, in groups of bounded size. A pair at the threshold that meets at the first
     branching, as all but those in crowded nodes do, is missed by all trees with a chance of
-    0.25 ** 16 = 2e-10; in nodes branched three times with one of 0.2 %.
+    0.25 ** 16 = 2e-10; in nodes branched three times with one of 0.02 %.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat a doc_id are
     one document, kept or dropped together. Rows without doc_id come back unlinked, with a null
