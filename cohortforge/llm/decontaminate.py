@@ -1,4 +1,4 @@
-"""Benchmark passages in training documents: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Benchmark passages in training documents: n-gram seeds, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
@@ -7,14 +7,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.llm.shared import bitmap, may_hold, staged, text_slices
 from cohortforge.llm.words import ngram_hashes, word_hashes
 
 SEED = 3  # words of a seed
-SPAN = 2  # of so many seeds in a row of an item, the rarest is looked for
 MATCH, MISMATCH, GAP = 2, -1, -1
 ALIGNED = 0.4  # share of a whole item's score from which a document is contaminated
 
@@ -41,25 +40,6 @@ def _grams(batches: Iterable[pa.RecordBatch], held: np.ndarray | None) -> Iterat
             )
 
 
-def rare_seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
-    """(gram, item_id, at, words): of every `SPAN` n-grams in a row of an item, the rarest.
-
-    Rarity is the number of places in the whole corpus (`hits`) times that in the items. There is
-    no bound on it: an item whose n-grams are all common keeps its rarest.
-    """
-    seen = hits.groupBy("gram").agg(F.count("*").alias("seen"))
-    own = items.groupBy("gram").agg(F.count("*").alias("own"))
-    rarity = own.join(seen, "gram", "left").select(
-        "gram", (F.col("own") * F.coalesce("seen", F.lit(0))).alias("rarity")
-    )
-    run = Window.partitionBy("id").orderBy("pos").rowsBetween(0, SPAN - 1)  # an item's n-grams
-    least = F.min(F.struct("rarity", "gram", "pos")).over(run)
-    chosen = items.join(rarity, "gram").select("id", "words", least.alias("least")).distinct()
-    return chosen.select(
-        F.col("least.gram").alias("gram"), F.col("id").alias("item_id"), F.col("least.pos").alias("at"), "words"
-    )
-
-
 def align(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     """Smith-Waterman over words: the best score, and where in `region` it starts and ends."""
     columns = np.arange(len(region) + 1)
@@ -85,6 +65,13 @@ def align(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def reachable(item: np.ndarray, region: np.ndarray) -> int:
+    """No alignment scores more: item words that the region lacks cost a mismatch or a gap each."""
+    gain = np.where(np.isin(item, region), MATCH, max(MISMATCH, GAP))
+    total = np.concatenate([[0], np.cumsum(gain)])
+    return int((total - np.minimum.accumulate(total)).max())
+
+
 def regions(diagonals: list[int], words: int, length: int) -> list[tuple[int, int]]:
     """Stretches of a document in which an item with seeds on these diagonals may lie."""
     out: list[list[int]] = []
@@ -116,6 +103,8 @@ def _align(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.Recor
                     item = item_hashes[slice(*place[pair["item_id"]])]
                     best = (0, 0, 0)
                     for low, high in regions(pair["diagonals"], len(item), len(words)):
+                        if reachable(item, words[low:high]) < least * MATCH * len(item):
+                            continue
                         s, first, end = align(item, words[low:high])
                         best = max(best, (s, low + first, low + end), key=lambda x: x[0])
                     score = best[0] / (MATCH * len(item))
@@ -139,7 +128,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = ALIGNED)
     doc_id, item_id, score (share of the score of a whole copy), start_word and end_word (the
     aligned words of the document, end exclusive), for scores of `least` up. Words are compared
     without case and ASCII punctuation. A seed is `SEED` words; an item of fewer words is never found, null or empty ones neither. Every stretch of
-    `SEED + SPAN - 1` unchanged words gives a seed. Documents and items without an id are left out;
+    `SEED` unchanged words is a seed, however common. Documents and items without an id are left out;
     rows that repeat an id count as one, with the best score. Empty tables give an empty result.
     """
     items = benchmark.select(F.col("item_id").alias("id"), "text").where("id is not null and text is not null")
@@ -147,7 +136,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = ALIGNED)
     grams = staged(items.mapInArrow(partial(_grams, held=None), GRAMS), "item-grams")
     hits = texts.mapInArrow(partial(_grams, held=bitmap(grams, "gram")), GRAMS)
     hits = staged(hits.join(grams.select("gram").distinct(), "gram", "left_semi").select("id", "gram", "pos"), "hits")
-    seeds = rare_seeds(grams, hits)
+    seeds = grams.select("gram", F.col("id").alias("item_id"), F.col("pos").alias("at")).distinct()
     pairs = (
         hits.join(seeds, "gram")
         .groupBy("id", "item_id")

@@ -66,6 +66,26 @@ def test_copies_and_edited_copies_are_found(spark, frame):
         assert brute_align(wanted[item], part) / (2 * len(wanted[item])) == pytest.approx(r["score"])
 
 
+def test_runs_of_three_words_between_edits_are_found(spark, frame):
+    """The n-grams the edits break occur nowhere in documents, or (item 2) in a whole copy elsewhere."""
+    items = [[f"{name}{k}" for k in range(16)] for name in "ab"]
+    edited = [[f"x{k}" if k % 4 == 3 else word for k, word in enumerate(item)] for item in items]
+    docs = frame([(k, " ".join(words)) for k, words in enumerate([*edited, items[1]], 1)])
+    wanted = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items, 1)], ITEMS)
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in d.contaminated(docs, wanted).collect()}
+    assert found.keys() == {(1, 1), (2, 2), (3, 2)}
+    for k in (0, 1):
+        assert found[k + 1, k + 1] == pytest.approx(brute_align(items[k], edited[k]) / 32) and found[k + 1, k + 1] >= 0.6
+
+
+def test_bound_of_the_alignment():
+    rng = random.Random(2)
+    for _ in range(300):
+        item = np.array([rng.randint(0, 9) for _ in range(rng.randint(1, 12))], np.uint64)
+        region = np.array([rng.randint(0, 9) for _ in range(rng.randint(0, 9))], np.uint64)
+        assert brute_align(item, region) <= d.reachable(item, region) <= d.MATCH * len(item)
+
+
 def test_whole_table_against_search(spark, sf_dir):
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     plain = lambda t: " " + " ".join(t.lower().split()) + " "
