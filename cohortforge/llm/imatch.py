@@ -1,22 +1,24 @@
 """I-Match fingerprints with column functions only.
 
-A document's terms are its lower-cased runs of letters and digits. Disjoint random subsets of the
-lexicon are drawn by the terms' hashes, some of one term in `RATES[0]`, some of one in `RATES[1]`,
-so that short and long texts both have subsets with few of their terms. Terms whose document
-frequency lies in a band are kept; each subset's distinct terms are sorted and hashed.
+A document's terms are its lower-cased runs of letters and digits. The terms' hashes divide the
+whole lexicon into `SUBSETS` random subsets of one term in `RATES[0]`; as many subsets of one in
+`RATES[1]` are drawn besides, so that long texts too have subsets with few of their terms. Terms
+whose document frequency lies in a band are kept; each subset's distinct terms are sorted and hashed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortforge.llm.shared import staged
 
 NOT_TERM = r"[^\p{L}\p{N}]+"
-SUBSETS = 24  # of each rate
+SUBSETS = 256  # of each rate: at the first, every term is in one
 RATES = (256, 2048)
-LEAST_DOCS = 2  # documents a term must occur in at least
+LEAST_DOCS = 2  # rows a term must occur in at least; a rarer one is in one row only
 MOST_SHARE = 0.25  # share of all documents it may occur in
 BUCKET_BITS = 9  # documents whose ids differ in these low bits only are ordered in one task
 NONE = "."
@@ -27,21 +29,25 @@ def subset(term: Column, level: int) -> Column:
     return F.pmod(F.shiftright(term, 20 * level), F.lit(RATES[level]))
 
 
-def sampled_terms(text: Column) -> Column:
-    """The distinct hashes of a text's terms that are in any subset."""
-    words = F.split(F.lower(text), NOT_TERM)
-    hashes = F.transform(words, lambda w: F.when(w != "", F.xxhash64(w)))
-    drawn = F.filter(hashes, lambda h: (subset(h, 0) < SUBSETS) | (subset(h, 1) < SUBSETS))
-    return F.array_distinct(drawn)
+def distinct_terms(text: Column) -> Column:
+    """The distinct hashes of a text's terms."""
+    words = F.filter(F.split(F.lower(text), NOT_TERM), lambda w: w != "")
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+
 
+def lexicon(docs: DataFrame) -> DataFrame:
+    """(term, place, doc_id, hash): all terms; place is 0 in the band, -1 below it and 1 above it.
 
-def lexicon(docs: DataFrame, least: int = LEAST_DOCS, share: float = MOST_SHARE) -> DataFrame:
-    """(term) hashes of the subsets whose document frequency lies in the band."""
-    terms = docs.select(F.explode(sampled_terms(F.coalesce("text", F.lit("")))).alias("term"))
-    seen = terms.groupBy("term").agg(F.count("*").alias("docs"))
-    total = docs.agg(F.greatest(F.lit(least), F.count("*") * share).alias("most"))  # one row
-    band = (F.col("docs") >= least) & (F.col("docs") <= F.col("most"))
-    return seen.join(F.broadcast(total)).where(band).select("term")
+    A term below the band is in the one row that doc_id and hash, its text's, name.
+    """
+    text = F.coalesce("text", F.lit(""))
+    terms = docs.select("doc_id", F.xxhash64(text).alias("hash"), F.explode(distinct_terms(text)).alias("term"))
+    seen = terms.groupBy("term").agg(
+        F.count("*").alias("docs"), F.min("doc_id").alias("doc_id"), F.min("hash").alias("hash")
+    )
+    total = docs.agg(F.greatest(F.lit(LEAST_DOCS), F.count("*") * MOST_SHARE).alias("most"))  # one row
+    place = F.when(F.col("docs") < LEAST_DOCS, -1).when(F.col("docs") > F.col("most"), 1).otherwise(0)
+    return seen.join(F.broadcast(total)).select("term", place.alias("place"), "doc_id", "hash")
 
 
 def following(ids: DataFrame, levels: int = 2) -> DataFrame:
@@ -66,9 +72,13 @@ def following(ids: DataFrame, levels: int = 2) -> DataFrame:
     return inside.join(next_head, "bucket").select("id", F.coalesce("next", "head").alias("next"))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(
+    docs: DataFrame, added: Callable[[DataFrame], DataFrame] = lambda rows: rows, names: tuple[str, ...] = ("text",)
+) -> DataFrame:
     """(doc_id, text, next_id, next_text): each document beside the next in descending doc_id.
 
+    `added` may add columns to the rows; of those in `names`, the next document's stand beside them.
+
     Buckets of ids are ordered each in a task; the first document of the next bucket is copied to
     the end of this one. Repeated ids are ordered by text. Rows without an id have no next one.
     """
@@ -87,14 +97,14 @@ def with_next(docs: DataFrame) -> DataFrame:
     # rows without an id are spread by their text
     bucket = F.coalesce("bucket", F.shiftright(F.xxhash64("text"), 32))
     own = rows.select("doc_id", "text", bucket.alias("bucket"), F.lit(0).alias("copy"), F.col("doc_id").isNull().alias("alone"))
-    both = own.unionByName(copied.withColumn("alone", F.lit(False)))
+    both = added(own.unionByName(copied.withColumn("alone", F.lit(False))))
     ordered = Window.partitionBy("bucket", "alone").orderBy("copy", F.desc("doc_id"), "text")
     known = F.col("doc_id").isNotNull()
+    beside = {f"next_{name}": F.when(known, F.lead(name).over(ordered)) for name in names}
     return (
-        both.withColumn("next_id", F.when(known, F.lead("doc_id").over(ordered)))
-        .withColumn("next_text", F.when(known, F.lead("text").over(ordered)))
+        both.withColumns({"next_id": F.when(known, F.lead("doc_id").over(ordered)), **beside})
         .where("copy = 0")
-        .select("doc_id", "text", "next_id", "next_text")
+        .drop("bucket", "alone", "copy")
     )
 
 
@@ -105,21 +115,25 @@ def edited_text(text: Column, following_text: Column) -> Column:
     return F.concat(kept, F.substr(F.coalesce(following_text, F.lit("")), F.lit(1), half))
 
 
-def subsets_of(term: Column) -> Column:
-    """The subsets a term is in, those of the second rate counted on from the first's."""
-    found = [
-        F.when(subset(term, level) < SUBSETS, subset(term, level) + level * SUBSETS)
-        for level in range(len(RATES))
-    ]
-    return F.filter(F.array(*found), lambda k: k.isNotNull())
+def fingerprint(terms: Column, text_hash: Column) -> Column:
+    """The hashes of all subsets' terms, joined; a text without a term has its own hash instead."""
 
+    def entry(k: Column, term: Column) -> Column:
+        return F.struct(k.cast("long").alias("subset"), term.cast("long").alias("term"))
 
-def fingerprint(digests: Column, text_hash: Column) -> Column:
-    """The subsets' hashes, joined; a text without a term in any has its own hash instead."""
-    every = F.sequence(F.lit(0).cast("long"), F.lit(len(RATES) * SUBSETS - 1).cast("long"))
-    parts = F.transform(every, lambda k: F.coalesce(F.try_element_at(digests, k), F.lit(NONE)))
+    def drawn(level: int) -> Column:
+        own = F.filter(terms, lambda h: subset(h, level) < SUBSETS)
+        return F.transform(own, lambda h: entry(subset(h, level) + level * SUBSETS, h))
+
+    every = F.sequence(F.lit(0), F.lit(len(RATES) * SUBSETS - 1))
+    heads = F.transform(every, lambda k: entry(k, F.lit(None)))  # each comes before its subset's terms
+    in_order = F.sort_array(F.concat(heads, *map(drawn, range(len(RATES)))))
+    pieces = F.transform(in_order, lambda e: F.coalesce(F.concat(F.lit(","), e["term"].cast("string")), F.lit("|")))
+    joined = F.split(F.substr(F.array_join(pieces, ""), F.lit(2)), r"\|")
+    digest = lambda own: F.substr(F.sha1(F.substr(own, F.lit(2))), F.lit(1), F.lit(8))
+    parts = F.transform(joined, lambda own: F.when(own == "", NONE).otherwise(digest(own)))
     own = F.concat(F.lit("text:"), F.hex(text_hash))
-    return F.when(F.size(digests) > 0, F.array_join(parts, "-")).otherwise(own)
+    return F.when(F.size(terms) > 0, F.array_join(parts, "-")).otherwise(own)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -141,34 +155,21 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).when(whole | b.isNull(), 0.0).otherwise(best)
 
 
-def fingerprints(texts: DataFrame, terms: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
-    """`texts` with a fingerprint column per entry of `columns` (name -> sampled terms, text hash).
+def outside(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, hash, out): the terms below the band in a text, and those its edited text adds.
 
-    `texts` has a unique `row`. The terms of all columns meet the lexicon in one join.
+    All other terms of the edited text are the text's own or the next document's.
     """
-
-    def of_column(k: int, terms_of: str) -> Column:
-        return F.transform(terms_of, lambda h: F.struct(h.alias("term"), F.lit(k).alias("which")))
-
-    every = [of_column(k, terms_of) for k, (terms_of, _) in enumerate(columns.values())]
-    long = texts.select("row", F.explode(F.concat(*every)).alias("t")).select("row", "t.term", "t.which")
-    in_subsets = long.join(terms, "term").select(
-        "row", "which", "term", F.explode(subsets_of(F.col("term"))).alias("subset")
+    own, following_own, new = (
+        distinct_terms(c)
+        for c in (F.col("text"), F.coalesce("next_text", F.lit("")), edited_text(F.col("text"), F.col("next_text")))
     )
-    # dealt by row once, for the subsets' terms and for the rows' subsets
-    sorted_terms = F.transform(F.sort_array(F.collect_set("term")), lambda h: h.cast("string"))
-    digest = F.substr(F.sha1(F.array_join(sorted_terms, ",")), F.lit(1), F.lit(8))
-    hashed = in_subsets.repartition("row").groupBy("row", "which", "subset").agg(digest.alias("digest"))
-    found = hashed.groupBy("row").agg(F.collect_list(F.struct("which", "subset", "digest")).alias("found"))
-    out = texts.join(found, "row", "left")
-
-    def of_which(k: int) -> Column:
-        own = F.filter(F.coalesce("found", F.array()), lambda d: d["which"] == k)
-        return F.map_from_entries(F.transform(own, lambda d: F.struct(d["subset"], d["digest"])))
-
-    for k, (name, (_, text_hash)) in enumerate(columns.items()):
-        out = out.withColumn(name, fingerprint(of_which(k), F.col(text_hash)))
-    return out.drop("found")
+    fresh = with_next(docs).select(
+        "doc_id", F.xxhash64("text").alias("hash"), F.explode(F.array_except(new, F.concat(own, following_own))).alias("term")
+    )
+    unknown = fresh.join(terms.where("place >= 0").select("term"), "term", "left_anti")
+    rare = terms.where("place < 0").select("doc_id", "hash", "term")
+    return unknown.unionByName(rare).groupBy("doc_id", "hash").agg(F.collect_set("term").alias("out"))
 
 
 def compare(docs: DataFrame) -> DataFrame:
@@ -179,32 +180,32 @@ def compare(docs: DataFrame) -> DataFrame:
     table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
-    edited = edited_text(F.col("text"), F.col("next_text"))
-    rows = with_next(docs).withColumn("edited", edited).select(
-        F.monotonically_increasing_id().alias("row"),
+    terms = staged(lexicon(docs), "lexicon")
+    # the terms of a share of all rows are few: no more than a text's mean number over the share
+    common = F.broadcast(terms.where("place > 0").agg(F.collect_list("term").alias("common")))
+    out = outside(docs, terms).withColumnsRenamed({"doc_id": "out_id", "hash": "out_hash"})
+
+    def marked(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("hash", F.xxhash64("text"))
+        same = F.col("doc_id").eqNullSafe(F.col("out_id")) & (F.col("hash") == F.col("out_hash"))
+        rows = rows.join(out, same, "left").drop("out_id", "out_hash")
+        rows = rows.withColumn("out", F.coalesce("out", F.array().cast("array<long>")))
+        # dealt out before the long fingerprints are made, as the window needs it
+        rows = rows.repartition("bucket", "alone").join(common)
+        rows = rows.withColumn("own", F.array_except(distinct_terms(F.col("text")), F.concat("out", "common")))
+        return rows.withColumn("fingerprint", fingerprint(F.col("own"), F.col("hash"))).drop("own")
+
+    rows = with_next(docs, marked, ("text", "out", "fingerprint"))
+    rows = rows.withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
+    beyond = F.concat("out", F.coalesce("next_out", F.array().cast("array<long>")), "common")
+    rows = rows.withColumn("new", F.array_except(distinct_terms(F.col("edited")), beyond))
+    rows = rows.withColumn("edited_fingerprint", fingerprint(F.col("new"), F.xxhash64("edited")))
+    return rows.select(
         "doc_id",
-        "next_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        F.xxhash64("text").alias("hash"),
-        F.xxhash64("edited").alias("edited_hash"),
-        F.xxhash64(F.coalesce("next_text", F.lit(""))).alias("next_hash"),
-        sampled_terms(F.col("text")).alias("own"),
-        sampled_terms(F.col("edited")).alias("new"),
-    )
-    rows = staged(rows, "rows")
-    names = {"fingerprint": ("own", "hash"), "edited_fingerprint": ("new", "edited_hash")}
-    marked = staged(fingerprints(rows, lexicon(docs), names).drop("own", "new"), "fingerprints")
-    others = marked.where("doc_id is not null").select(
-        F.col("doc_id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("fingerprint").alias("other")
-    )
-    beside = marked.join(others.dropDuplicates(["next_id", "next_hash"]), ["next_id", "next_hash"], "left")
-    return beside.select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("other")).alias("near_next"),
+        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )

@@ -96,6 +96,16 @@ def test_edges(edges, nothing, frame):
     check(frame([tuple(r) for r in rows]))
 
 
+def test_every_term_of_the_lexicon_counts(frame):
+    """Short texts have subsets, and texts that differ in one term differ."""
+    words = [f"term{k}" for k in range(60)]
+    rows = [(k, " ".join(words[k : k + 12])) for k in range(48)] + [(100, " ".join(words[:11]))]
+    found = {r["doc_id"]: r for r in check(frame(rows))}
+    assert not any(r["fingerprint"].startswith("text:") for r in found.values())
+    assert len({r["fingerprint"] for r in found.values()}) == len(rows)
+    assert all(found[k]["near_next"] > 0.6 for k in range(1, 48))
+
+
 def test_native_plan(spark, capsys, frame):
     docs = frame([(1, "a b"), (2, "c d")])
     for df in (imatch.with_next(docs), imatch.lexicon(docs)):
