@@ -1,7 +1,8 @@
 """Personal data by weak supervision.
 
 Base spans (e-mail, IP, card, phone) are found by pattern and always stay. Every other token with
-digits is a candidate. Regex, gazetteer and context labelers vote on it; expectation-maximisation
+digits is a candidate, so is any token after the name of a secret or an assignment, and any name of
+the gazetteer or after a title. Regex, gazetteer and context labelers vote on it; expectation-maximisation
 over the counts of vote patterns in the whole corpus estimates how reliable each labeler is, and a
 logistic classifier of the span's looks is trained on the resulting labels.
 """
@@ -10,8 +11,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from cohortforge.llm.shared import staged, text_slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "ssn", "secret")
+KINDS = (*BASE_KINDS, "iban", "ssn", "secret", "name")
 
 DIGIT = re.compile(r"[0-9]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -77,24 +80,55 @@ def base_spans(text: str | None) -> list[Span]:
 
 TOKEN = re.compile(r"""[^\s"'<>()\[\]{},;]+""")
 NUMBER = re.compile(r"[0-9]+")
-LEAST = 6  # characters of a candidate
+LEAST = 6  # characters of a candidate that only its digits make one
 SEEN = 48  # characters of context before a candidate
 
 LONG_CODE = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])(?:[0-9a-fA-F]{12,}|[A-Za-z0-9+/_-]{16,}=*)$")
 SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}$")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$")
 PLAIN = re.compile(r"[v$€£#~(]*[0-9]{1,4}(?:[.:/x-][0-9]{1,4})*[.:!?)%$€£]*$")
-SECRETS = re.compile(
-    r"(?:token|passw(?:or)?d|passwort|secret|api[_-]?key|access[_-]?key|private[_-]?key|credential|"
-    r"contraseña|mot de passe|ssn|social security|iban|passport|konto|account)\W*$",
-    re.IGNORECASE,
+SECRET_WORDS = (
+    r"token|passw(?:or)?d|passwort|secret|api[_-]?key|access[_-]?key|private[_-]?key|credential|"
+    r"contraseña|mot de passe|ssn|social security|iban|passport|konto|account"
 )
+SECRETS = re.compile(rf"(?:{SECRET_WORDS})\W*$", re.IGNORECASE)
 HARMLESS = re.compile(
     r"(?:page|seite|página|version|chapter|kapitel|capítulo|chapitre|figure|table|section|vol|no|nr|isbn|"
     r"rfc|year|jahr|año|année)\W*$",
     re.IGNORECASE,
 )
 ASSIGNED = re.compile(r"[=:]\s*[\"']?$")
+# what stands before a token of any characters: all of a secret's name, or an assignment but no URL
+NAMED = re.compile(rf"(?:{SECRET_WORDS})(?!\w)\W*", re.IGNORECASE)
+ASSIGNS = re.compile(r"[=:](?!//)\s*[\"']?")
+STEMS = "token pass secret key cred contrase mot ssn social iban konto account".split()  # one is in each of the words
+
+TITLES = "Mr Mrs Ms Miss Dr Prof Professor Sir Herr Frau Señor Señora Don Doña Monsieur Madame Mme Mlle".split()
+GIVEN_NAMES = """
+    James John Robert Michael William David Richard Joseph Thomas Charles Christopher Daniel Matthew Anthony Donald
+    Steven Andrew Paul Joshua Kenneth Kevin Brian George Timothy Ronald Edward Jason Jeffrey Ryan Jacob Gary Nicholas
+    Eric Jonathan Stephen Larry Justin Scott Brandon Benjamin Samuel Gregory Alexander Patrick Jack Dennis Jerry Peter
+    Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Lisa Nancy Betty Sandra Margaret Ashley
+    Kimberly Emily Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Laura Helen Sharon Cynthia Kathleen
+    Amy Angela Anna Ruth Brenda Pamela Nicole Katherine Samantha Christine Emma Catherine Virginia Rachel Janet Maria
+    Heather Diane Julie Joyce Victoria Kelly Christina Joan Evelyn Olivia Sophia Isabella Charlotte Alice Bob Eve
+    Hans Peter Wolfgang Klaus Jürgen Dieter Manfred Uwe Günter Horst Bernd Helmut Heinz Stefan Andreas Matthias Lukas
+    Felix Jonas Maximilian Ursula Monika Petra Sabine Renate Gisela Ingrid Brigitte Heike Birgit Katrin Anja Lena Lea
+    José Juan Antonio Francisco Manuel Javier Carlos Jesús Miguel Ángel Rafael Pedro Pablo Sergio Fernando Jorge Luis
+    Alberto Álvaro Diego Alejandro Carmen Josefa Isabel Dolores Pilar Teresa Lucía Marta Elena Cristina Rosa Sofía Ana
+    Jean Pierre Michel André Philippe Alain Jacques Bernard Marcel Daniel Roger Claude Louis François Henri Nicolas
+    Julien Antoine Marie Jeanne Françoise Monique Nathalie Isabelle Jacqueline Sylvie Martine Chloé Camille Léa Manon
+""".split()
+CAPITALISED = r"[A-ZÀ-ÖØ-Þ][^\W\d_]+"
+WORD = re.compile(rf"{CAPITALISED}\b")
+SURNAME = re.compile(rf"(?:[ -]{CAPITALISED}\b)?")
+AFTER_TITLE = re.compile(rf"\.?[ ]+({CAPITALISED}\b(?:[ -]{CAPITALISED}\b)?)")
+TITLED = re.compile(rf"\b(?:{'|'.join(TITLES)})\.?\s+$")
+KNOWN = frozenset(GIVEN_NAMES)
+
+
+def known_name(token: str) -> bool:
+    return not KNOWN.isdisjoint(re.split(r"[ -]", token))
 
 
 def iban(token: str) -> bool:
@@ -106,10 +140,10 @@ def iban(token: str) -> bool:
 
 # Labelers: for a token and the text before it, 2 for personal, 1 for harmless, 0 for no vote.
 LABELERS = (
-    lambda token, before: 2 if LONG_CODE.match(token) else 0,  # regex
-    lambda token, before: 2 if SSN.match(token) or iban(token) else 0,  # regex
+    lambda token, before: 2 if LONG_CODE.match(token) or SSN.match(token) or iban(token) else 0,  # regex
     lambda token, before: 1 if PLAIN.match(token) else 0,  # regex
-    lambda token, before: 2 if SECRETS.search(before) else 1 if HARMLESS.search(before) else 0,  # gazetteer
+    lambda token, before: 2 if known_name(token) else 0,  # gazetteer
+    lambda token, before: 2 if SECRETS.search(before) or TITLED.search(before) else 1 if HARMLESS.search(before) else 0,  # context
     lambda token, before: 2 if ASSIGNED.search(before) else 0,  # context
     lambda token, before: 2 if len(set(token)) >= 9 else 1 if len(set(token)) <= 5 else 0,  # context-free look
 )
@@ -122,9 +156,11 @@ FEATURES = (
     lambda token, before: bool(SECRETS.search(before)),
     lambda token, before: bool(ASSIGNED.search(before)),
     lambda token, before: bool(SSN.match(token)) or iban(token),
+    lambda token, before: known_name(token) or bool(TITLED.search(before)),
+    lambda token, before: token.isalpha(),
 )
 VOTES = 3 ** len(LABELERS)
-SIGNATURES = VOTES << len(FEATURES)  # 186 624: bounds what is counted and sent to tasks
+SIGNATURES = VOTES << len(FEATURES)  # 746 496: bounds what is counted and sent to tasks
 
 
 def signature(token: str, before: str) -> int:
@@ -138,11 +174,9 @@ def signature(token: str, before: str) -> int:
     return votes
 
 
-def candidates(text: str | None, base: list[Span]) -> list[tuple[str, int, int, int]]:
-    """(kind, start, end, signature) of tokens with digits that overlap no base span."""
-    text = text or ""
-    taken = sorted((a, b) for _, a, b in base)
-    out, end, k = [], 0, 0
+def numbered(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of tokens of `LEAST` characters with digits that overlap no base span."""
+    end, k = 0, 0
     for found in NUMBER.finditer(text):
         if found.start() < end:
             continue
@@ -157,11 +191,55 @@ def candidates(text: str | None, base: list[Span]) -> list[tuple[str, int, int,
         split = max(text.rfind("=", start, found.start()), text.rfind(":", start, found.start())) + 1
         first = max(start, split)
         last = first + len(text[first:end].rstrip(".:!?="))
-        token = text[first:last]
         if last - first >= LEAST:
-            before = text[max(0, first - SEEN) : first]
-            kind = "iban" if iban(token[:64]) else "ssn" if SSN.match(token) else "secret"
-            out.append((kind, first, last, signature(token, before)))
+            yield first, last
+
+
+def persons(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of capitalised names after a title, and of given names with a surname, if any."""
+    end = 0
+    for word in WORD.finditer(text):
+        start = word.start()
+        if start < end or start and (text[start - 1].isalnum() or text[start - 1] == "_"):
+            continue
+        if word.group() in KNOWN:
+            end = SURNAME.match(text, word.end()).end()
+            yield start, end
+        elif word.group() in TITLES and (named := AFTER_TITLE.match(text, word.end())):
+            end = named.end()
+            yield named.span(1)
+
+
+def in_context(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, is a name) of tokens after a secret's name or an assignment, and of persons' names."""
+    folded = text.casefold()
+    for pattern in (NAMED, ASSIGNS) if any(stem in folded for stem in STEMS) else (ASSIGNS,):
+        for found in pattern.finditer(text):
+            if token := TOKEN.match(text, found.end()):
+                yield found.end(), found.end() + len(token.group().rstrip(".:!?=")), False
+    for start, end in persons(text):
+        yield start, end, True
+
+
+def candidates(text: str | None, base: list[Span]) -> list[tuple[str, int, int, int]]:
+    """(kind, start, end, signature) of all candidates; they overlap no base span nor each other."""
+    text = text or ""
+    taken = sorted((a, b) for _, a, b in base)
+    tokens = [(first, last, False) for first, last in numbered(text, taken)]
+    taken = sorted(taken + [(a, b) for a, b, _ in tokens])
+    reach = list(accumulate((b for _, b in taken), max))
+    end = 0
+    for first, last, name in sorted(in_context(text), key=lambda t: (t[0], -t[1])):
+        before = bisect_left(taken, (last,))  # spans that start before the token ends
+        if first < max(end, reach[before - 1] if before else 0) or first == last:
+            continue
+        tokens.append((first, last, name))
+        end = last
+    out = []
+    for first, last, name in sorted(tokens):
+        token, before = text[first:last], text[max(0, first - SEEN) : first]
+        kind = "name" if name else "iban" if iban(token[:64]) else "ssn" if SSN.match(token) else "secret"
+        out.append((kind, first, last, signature(token, before)))
     return out
 
 

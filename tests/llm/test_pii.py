@@ -62,6 +62,20 @@ def test_added_spans(frame):
     assert {found[100 + k] for k in range(60)} == {""}
 
 
+def test_secrets_without_digits_and_names(frame):
+    secrets = ["correcthorsebattery", "unguessablewordpair"]
+    rows = [(k, f"so password: {secrets[k % 2]} here") for k in range(40)]
+    rows += [(100 + k, f"my report: this is fine, see https://a.example/{'xyz'[k % 3]}") for k in range(60)]
+    names = ["Thornbury", "Anna Schmidt", "Weber", "Emily Carter"]
+    rows += [(200 + k, f"we met {['Dr. ', '', 'Herr ', ''][k % 4]}{names[k % 4]} then") for k in range(40)]
+    found = {r["doc_id"]: r["spans"] for r in pii.report(frame(rows)).collect()}
+    for k, text in rows:
+        spans = [(kind, text[int(a) : int(b)]) for kind, a, b in (s.split(":") for s in found[k].split(",") if s)]
+        wanted = [[("secret", secrets[k % 2])], [], [("name", names[k % 4])]][k // 100]
+        assert spans == wanted
+    assert [c[1:3] for c in pii.candidates("password: ab12", [])] == [(10, 14)]
+
+
 def test_expectation_maximisation_finds_the_unreliable_labeler():
     """Three labelers agree with the truth nine times in ten, one votes at random."""
     rng = np.random.default_rng(1)
