@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortforge.llm import chat, imatch, warc
 from cohortforge.llm.bpe import round_trip_digests
+from cohortforge.llm.collocations import collocations
 from cohortforge.llm.decontaminate import contaminated
 from cohortforge.llm.grammar import write_and_read
 from cohortforge.llm.language import identify
@@ -99,6 +100,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two and three words in each language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 SQL: dict[str, str] = {
     "op7_near_dedup": r"""
         with recursive words as (
@@ -142,6 +149,47 @@ SQL: dict[str, str] = {
             case when payload_bytes >= 1000 and page_id <> last then last end as refers_to
         from typed
     """,
+    "op13_collocations": r"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) as piece
+            from documents
+        ), lists as (
+            select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as w from pieces
+        ), places as (
+            select lang, w, unnest(range(1, len(w) + 1)) as i from lists
+        ), f1 as (
+            select lang, w[i] as x, count(*) as f from places group by all
+        ), f2 as (
+            select lang, w[i] as x, w[i + 1] as y, count(*) as f from places where i < len(w) group by all having f >= 10
+        ), f3 as (
+            select lang, w[i] as x, w[i + 1] as y, w[i + 2] as z, count(*) as f
+            from places where i + 1 < len(w) group by all having f >= 10
+        ), cuts as (
+            select lang, x || ' ' || y as phrase, p.f as a, 1 as k, a.f as l, b.f as r, 
+                coalesce(greatest(
+                    (select max(f) from f3 where f3.lang = p.lang and f3.x = p.x and f3.y = p.y),
+                    (select max(f) from f3 where f3.lang = p.lang and f3.y = p.x and f3.z = p.y)), 0) as most
+            from f2 p join f1 a using (lang, x) join (select lang, x as y, f from f1) b using (lang, y)
+            union all
+            select lang, x || ' ' || y || ' ' || z, t.f, 1, a.f, b.f, 0
+            from f3 t join f1 a using (lang, x) join (select lang, x as y, y as z, f from f2) b using (lang, y, z)
+            union all
+            select lang, x || ' ' || y || ' ' || z, t.f, 2, a.f, b.f, 0
+            from f3 t join f2 a using (lang, x, y) join (select lang, x as z, f from f1) b using (lang, z)
+        ), scored as (
+            select *, (1000000::hugeint * a * a) // (l::hugeint * r) as score from cuts
+        ), lowest as (
+            select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+        ), ranked as (
+            select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+            from lowest where 100 * most < 50 * a
+        )
+        select lang, rank, phrase, a, l, r, n, score::bigint as score
+        from ranked join (select lang, sum(f)::bigint as n from f1 group by lang) using (lang)
+        where rank <= 2000
+    """,
     # the template below is the operator's default one
     "op5_chat": """
         with turns as (
