@@ -14,6 +14,8 @@ from cohortforge.llm.language import identify
 from cohortforge.llm.near_dedup import near_duplicates
 from cohortforge.llm.pii import report
 from cohortforge.llm.quality import classify
+from cohortforge.llm.url_filters import judge
+from cohortforge.llm.whitening import whiten
 from cohortforge.session import configure
 
 QUERIES = {}
@@ -100,6 +102,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first whitened components of every embedding."""
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict by rules and by what its host links to and is linked from."""
+    return judge(table(spark, sf_dir, "pages"))
+
+
 @query
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strongest phrases of two and three words in each language."""
@@ -149,6 +163,60 @@ SQL: dict[str, str] = {
             case when payload_bytes >= 1000 and page_id <> last then last end as refers_to
         from typed
     """,
+    "op12_url_filters": r"""
+        with recursive urls as (
+            select page_id, html,
+                translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+            from pages
+        ), rules as (
+            select * from (values ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+                ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) t(ruled, h, p)
+        ), fitting as (
+            select page_id, host, path, h || p as rule, ruled
+            from urls join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+            qualify row_number() over (partition by page_id order by length(h || p) desc, length(h) desc) = 1
+        ), judged as (
+            select page_id, u.host, u.path, rule, ruled from urls u left join fitting using (page_id)
+        ), seeds as (
+            select host, 1000000000 * count(*) filter (ruled = 'allow') // count(*) * 15 // 100 as trust,
+                1000000000 * count(*) filter (ruled = 'block') // count(*) * 15 // 100 as distrust
+            from judged where host <> '' group by host
+        ), targets as (
+            select host as src, unnest(list_distinct(list_transform(regexp_extract_all(html,
+                '[\x09-\x0D\x20"''/](?:[Hh][Rr][Ee][Ff]|[Ss][Rr][Cc])[\x09-\x0D\x20]*=[\x09-\x0D\x20]*["'']?[\x09-\x0D\x20]*(?:[Hh][Tt][Tt][Pp][Ss]?:)?//([^/?#"''\x09-\x0D\x20>\\]+)', 1),
+                lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) as dst
+            from urls
+        ), links as (
+            select src, dst, count(*) as weight from targets where src <> '' and src <> dst group by src, dst
+        ), edges as (
+            select 'trust' as kind, src, dst, weight, sum(weight) over (partition by src) as total from links
+            union all
+            select 'distrust', dst, src, weight, sum(weight) over (partition by dst) from links
+        ), own as (
+            select 'trust' as kind, host, trust as score from seeds where trust > 0
+            union all select 'distrust', host, distrust from seeds where distrust > 0
+        ), rounds as (
+            select kind, host, score::hugeint as score, 0 as k from own
+            union all
+            select kind, host, sum(score)::hugeint, k from (
+                select e.kind, e.dst as host, (r.score * 85 * e.weight) // (e.total * 100) as score, r.k + 1 as k
+                from rounds r join edges e on e.kind = r.kind and e.src = r.host where r.k < 40
+                union all
+                select o.kind, o.host, o.score, n.k + 1
+                from own o, (select distinct kind, k from rounds where k < 40) n where n.kind = o.kind
+            ) group by kind, host, k
+        ), last as (
+            select host, coalesce(max(score) filter (kind = 'trust'), 0)::bigint as trust,
+                coalesce(max(score) filter (kind = 'distrust'), 0)::bigint as distrust
+            from rounds where k = 40 group by host
+        )
+        select page_id, j.host, path, rule,
+            coalesce(ruled, case when distrust >= trust + 10000000 then 'block' else 'allow' end) as verdict,
+            coalesce(trust, 0) as trust, coalesce(distrust, 0) as distrust
+        from judged j left join last using (host)
+    """,
     "op13_collocations": r"""
         with pieces as (
             select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
@@ -167,7 +235,7 @@ SQL: dict[str, str] = {
             select lang, w[i] as x, w[i + 1] as y, w[i + 2] as z, count(*) as f
             from places where i + 1 < len(w) group by all having f >= 10
         ), cuts as (
-            select lang, x || ' ' || y as phrase, p.f as a, 1 as k, a.f as l, b.f as r, 
+            select lang, x || ' ' || y as phrase, p.f as a, 1 as k, a.f as l, b.f as r,
                 coalesce(greatest(
                     (select max(f) from f3 where f3.lang = p.lang and f3.x = p.x and f3.y = p.y),
                     (select max(f) from f3 where f3.lang = p.lang and f3.y = p.x and f3.z = p.y)), 0) as most
