@@ -33,16 +33,22 @@ SALTS = 64  # first-round rankings for each language
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    """(lang, piece, copies): the distinct pieces of each language that hold a word."""
-    text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
+    """(lang, piece, copies): the distinct pieces of each language, without the blanks around them.
+
+    Pieces without a word are left out.
+    """
     lang = F.coalesce("lang", F.lit("und"))
-    split = docs.select(lang.alias("lang"), F.explode(F.split(text, PIECE_END)).alias("piece"))
-    counted = split.groupBy("lang", "piece").agg(F.count("*").alias("copies"))
-    return counted.where(F.length(F.translate("piece", " \t", "")) > 0)
+    split = docs.select(lang.alias("lang"), F.explode(F.split(F.coalesce("text", F.lit("")), PIECE_END)).alias("piece"))
+    whole = split.withColumn("piece", F.btrim("piece", F.lit(" \t"))).where("piece <> ''")
+    # of ASCII letters only, `lower` is much faster than to translate
+    ascii_only = F.octet_length("piece") == F.length("piece")
+    lowered = F.when(ascii_only, F.lower("piece")).otherwise(F.translate("piece", UPPER, LOWER))
+    return whole.select("lang", lowered.alias("piece")).groupBy("lang", "piece").agg(F.count("*").alias("copies"))
 
 
-def words(piece: Column) -> Column:
-    return F.filter(F.split(piece, BLANKS), lambda w: w != "")
+def words(piece: str) -> Column:
+    """The words of a piece that neither begins nor ends with a blank."""
+    return F.split(piece, BLANKS)
 
 
 def lexicon(found: DataFrame) -> tuple[DataFrame, int]:
@@ -52,7 +58,7 @@ def lexicon(found: DataFrame) -> tuple[DataFrame, int]:
     """
     seed = 0
     while True:
-        every = found.select("lang", "copies", F.explode(words(F.col("piece"))).alias("text"))
+        every = found.select("lang", "copies", F.explode(words("piece")).alias("text"))
         counted = every.groupBy("lang", "text").agg(F.sum("copies").alias("f"))
         known = staged(counted.withColumn("word", word_id("lang", "text", seed)), "words")
         if known.groupBy("word").count().where("count > 1").isEmpty():
@@ -117,10 +123,11 @@ class Relations:
 def single_words(found: DataFrame, seed: int, relations: Relations) -> DataFrame:
     """Each place of a word in a distinct piece."""
     deal = F.pmod(F.xxhash64("lang", "piece"), F.lit(relations.buckets * DEALS)).cast("int")
-    dealt = found.withColumn("deal", deal).repartition(relations.buckets, "deal")
+    # sorted while they are pieces, so that the words come in the order they are written in
+    dealt = found.withColumn("deal", deal).repartition(relations.buckets, "deal").sortWithinPartitions("deal")
     # numbers the pieces of a task, which has all of a deal; set before the words are listed
     dealt = dealt.withColumn("id", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-    each = dealt.select("deal", "id", "lang", "copies", F.posexplode(words(F.col("piece"))).alias("pos", "text"))
+    each = dealt.select("deal", "id", "lang", "copies", F.posexplode(words("piece")).alias("pos", "text"))
     return each.select("deal", F.col("id").alias("piece"), "pos", word_id("lang", "text", seed).alias("w1"), "copies")
 
 
