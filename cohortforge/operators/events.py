@@ -53,3 +53,47 @@ def label_cohort(
 def exclude(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not listed."""
     return df.join(ids.select(key), key, "left_anti")
+
+
+def rule_counts(
+    df: DataFrame, rules: dict[str, Column], person: str, event: list[str]
+) -> DataFrame:
+    """(kind, rules, events, people): what each rule finds, and each combination of rules.
+
+    A row has a bit for each rule that it meets, in one scan; bits are joined by event, then by
+    person, so a distinct event counts once a rule. Of a rule: its events, and the people with one.
+    Of a combination, named by its rules with `+`: the events that just these rules find, and the
+    people for whom just these rules, in whatever events, do.
+    """
+    if len(rules) > 63:
+        raise ValueError("a long has bits for 63 rules")
+    bits = [F.when(met, F.lit(1 << k)).otherwise(0).cast("long") for k, met in enumerate(rules.values())]
+    marks = F.aggregate(F.array(*bits), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    keys = list(dict.fromkeys([person, *event]))
+    events = df.select(*keys, marks.alias("_marks")).where("_marks <> 0")
+    events = events.groupBy(*keys).agg(F.bit_or("_marks").alias("_marks"))
+    # a row for each person and kind of event: their number is bounded by the rules, not by events
+    per_person = events.groupBy(person, "_marks").agg(F.count(F.lit(1)).alias("_events"))
+    held = per_person.groupBy(person).agg(
+        F.bit_or("_marks").alias("_all"), F.collect_list(F.struct("_marks", "_events")).alias("_of")
+    )
+
+    def row(kind: str, marks: str, n_events: str, n_people: str) -> str:
+        return f"named_struct('kind', '{kind}', 'marks', {marks}, 'events', {n_events}, 'people', {n_people})"
+
+    singles = [
+        row(
+            "rule",
+            f"{1 << k}L",
+            f"aggregate(filter(_of, e -> e._marks & {1 << k}L <> 0), 0L, (n, e) -> n + e._events)",
+            f"cast(_all & {1 << k}L <> 0 as bigint)",
+        )
+        for k in range(len(rules))
+    ]
+    mixed = f"transform(_of, e -> {row('combination', 'e._marks', 'e._events', '0L')})"
+    own = f"array({row('combination', '_all', '0L', '1L')})"
+    rows = held.select(F.inline(F.expr(f"concat(array({', '.join(singles)}), {mixed}, {own})")))
+    counted = rows.groupBy("kind", "marks").agg(F.sum("events").alias("events"), F.sum("people").alias("people"))
+    met = [F.when(F.col("marks").bitwiseAND(1 << k) != 0, F.lit(name)) for k, name in enumerate(rules)]
+    names = F.array_join(F.array_compact(F.array(*met)), "+").alias("rules")
+    return counted.where("events > 0 or people > 0").select("kind", names, "events", "people")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,10 @@ def upsert(
 
     Columns named in neither keep their value on match and are NULL on insert.
     Source columns beyond `keys` are inserted under their own name.
+
+    Two unequal source rows for a row of the target leave open which updates it: the job stops
+    there, naming the key. The count that shows it shares the join's shuffle. Source rows whose key
+    the target lacks are all inserted, and a key with a NULL matches nothing.
     """
     on_match, on_insert = on_match or {}, on_insert or {}
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -28,7 +32,14 @@ def upsert(
         # insert only: the key may repeat on either side
         return _insert_missing(target, source, keys, on_insert)
 
+    if extra:
+        of_key = Window.partitionBy(*keys)
+        incoming = incoming.withColumn("_rows", F.count(F.lit(1)).over(of_key))
     joined = target.withColumn("_old", F.lit(True)).join(incoming, keys, "full_outer")
+    if extra:
+        message = F.concat(F.lit("source rows differ for one key: "), F.to_json(F.struct(*keys)))
+        unclear = F.col("_old") & (F.col("_rows") > 1)
+        joined = joined.where(F.when(unclear, F.raise_error(message).cast("boolean")).otherwise(True))
     out = []
     for name, kind in types.items():
         if name in keys:
@@ -72,3 +83,36 @@ def merge_flags(df: DataFrame, keys: list[str], marks: dict[str, Column]) -> Dat
     """Per key, whether any row carries each mark; one shuffle, reduced map-side."""
     seen = [F.max(F.coalesce(mark, F.lit(False))).alias(name) for name, mark in marks.items()]
     return df.groupBy(*keys).agg(*seen)
+
+
+def table_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """What turns one release of a table into another: (keys, change, columns).
+
+    `change` is inserted, updated or deleted; `columns` are those of an updated row whose values
+    differ, by the order of `before`. Columns that only one release has count as NULL in the other.
+    Rows are compared by a 64-bit hash of each value, so that keys and hashes are shuffled and not
+    the rows. NULL keys are equal to each other. A key that a release has twice stops the job.
+    """
+    values = [c for c in dict.fromkeys([*before.columns, *after.columns]) if c not in keys]
+
+    def hashed(df: DataFrame, side: str) -> DataFrame:
+        known = [F.xxhash64(F.lit(c), c) if c in df.columns else F.xxhash64(F.lit(c), F.lit(None)) for c in values]
+        rows = df.select(*keys, F.array(*known).cast("array<long>").alias("_values"))
+        single = rows.groupBy(*keys).agg(F.any_value("_values").alias(side), F.count(F.lit(1)).alias("_rows"))
+        message = F.concat(F.lit(f"a key repeats {side} the change: "), F.to_json(F.struct(*keys)))
+        unique = F.when(F.col("_rows") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+        return single.where(unique).select(*(F.col(k).alias(f"{side}_{k}") for k in keys), side)
+
+    old, new = hashed(before, "before"), hashed(after, "after")
+    same_key = [F.col(f"before_{k}").eqNullSafe(F.col(f"after_{k}")) for k in keys]
+    both = old.join(new, same_key, "full_outer")
+    change = (
+        F.when(F.col("before").isNull(), "inserted")
+        .when(F.col("after").isNull(), "deleted")
+        .when(F.col("before") != F.col("after"), "updated")
+    )
+    differs = [F.when(F.col("before")[k] != F.col("after")[k], F.lit(c)) for k, c in enumerate(values)]
+    columns = F.when(F.col("change") == "updated", F.array_compact(F.array(*differs).cast("array<string>")))
+    named = [F.coalesce(f"after_{k}", f"before_{k}").alias(k) for k in keys]
+    changed = both.withColumn("change", change).where("change is not null")
+    return changed.select(*named, "change", columns.alias("columns"))

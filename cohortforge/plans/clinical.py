@@ -8,7 +8,7 @@ from cohortforge.operators import decode, latest_records
 from cohortforge.study import Study, stage
 
 
-@stage("Flowsheet records")
+@stage("Flowsheet records", stored=True)
 def vitals(s: Study) -> DataFrame:
     readings = (
         s.src("ip_flwsht_meas")
@@ -69,7 +69,7 @@ SOCIAL_ANSWERS = (
 )
 
 
-@stage("Latest social history")
+@stage("Latest social history", stored=True)
 def latest_social_history(s: Study) -> DataFrame:
     """Lookups that feed no output column are left out: the rows are distinct."""
     people = s.src("patient").select("pat_id", "birth_date", "sex_c")
@@ -91,7 +91,7 @@ def latest_social_history(s: Study) -> DataFrame:
     ).distinct()
 
 
-@stage("Latest family history")
+@stage("Latest family history", stored=True)
 def latest_family_history(s: Study) -> DataFrame:
     ids = s("patient_table").select("pat_id", "study_id").distinct()
     history = s.src("family_hx").join(ids, "pat_id", "left_semi")
@@ -110,7 +110,7 @@ def latest_family_history(s: Study) -> DataFrame:
     ).distinct()
 
 
-@stage("Problem list")
+@stage("Problem list", stored=True)
 def problem_list(s: Study) -> DataFrame:
     problems = (
         s.src("problem_list")
@@ -155,7 +155,7 @@ def problem_list(s: Study) -> DataFrame:
     ).distinct()
 
 
-@stage("Problem list diagnoses")
+@stage("Problem list diagnoses", stored=True)
 def problem_list_dx(s: Study) -> DataFrame:
     def first_line(table: str, alias: str) -> DataFrame:
         return s.src(table).where("line = 1").select("dx_id", F.col("code").alias(alias))
@@ -185,7 +185,7 @@ def problem_list_dx(s: Study) -> DataFrame:
     ).distinct()
 
 
-@stage("Admissions, discharges and transfers")
+@stage("Admissions, discharges and transfers", stored=True)
 def adt_events(s: Study) -> DataFrame:
     """Not distinct: every movement row is kept."""
     moves = (
@@ -247,7 +247,7 @@ def adt_events(s: Study) -> DataFrame:
     )
 
 
-@stage("Appointments")
+@stage("Appointments", stored=True)
 def appointments(s: Study) -> DataFrame:
     kinds = s.src("clarity_prc").select(
         "prc_id",

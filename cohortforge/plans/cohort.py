@@ -15,6 +15,7 @@ from cohortforge.operators import (
     exclude,
     first_event,
     label_cohort,
+    rule_counts,
     rule_events,
 )
 from cohortforge.study import Study, stage
@@ -33,7 +34,7 @@ RESULT_COLUMNS = (
 )
 
 
-@stage("First flagged diagnosis per patient")
+@stage("First flagged diagnosis per patient", stored=True)
 def first_dx_date(s: Study) -> DataFrame:
     flagged = s("dx_driver_map").where(F.col("dx_flag") == s.cfg.dx_flag).select("dx_id")
     dx = s.src("pat_enc_dx").join(flagged.distinct(), "dx_id", "left_semi")
@@ -42,7 +43,7 @@ def first_dx_date(s: Study) -> DataFrame:
     )
 
 
-@stage("Results of the listed laboratory codes")
+@stage("Results of the listed laboratory codes", stored=True)
 def coded_lab_pull(s: Study) -> DataFrame:
     """The coded components are resolved first; a whitespace-only result is no text."""
     cfg = s.cfg
@@ -127,12 +128,22 @@ def rule_predicates(rules: tuple[Rule, ...], sentinel: int) -> list[tuple[Column
     ]
 
 
-@stage("Results that meet a positive rule")
+@stage("Results that meet a positive rule", stored=True)
 def rule_positive_events(s: Study) -> DataFrame:
     rules = rule_predicates(s.cfg.rules, s.cfg.numeric_sentinel)
     return rule_events(s("flagged_labs"), rules, ["pat_id", "result_date"])
 
 
+@stage("Events and patients per positive rule and combination of rules")
+def rule_attribution(s: Study) -> DataFrame:
+    """What each rule adds to the case finding, from the scan that applies them."""
+    met = {}
+    for rule in s.cfg.rules:
+        [(scope, predicate)] = rule_predicates((rule,), s.cfg.numeric_sentinel)
+        met[rule.step] = scope & F.coalesce(predicate, F.lit(False))
+    return rule_counts(s("flagged_labs"), met, "pat_id", ["result_date"])
+
+
 def first_positive(s: Study) -> DataFrame:
     return first_event(
         s("rule_positive_events"), "pat_id", "result_date", out="first_hiv_lab_date"
@@ -160,7 +171,13 @@ def cohort_lab_only(s: Study) -> DataFrame:
     return found.select("pat_id", F.lit(LAB_ONLY).alias("cohort_type"), "first_hiv_lab_date")
 
 
-@stage("Patients found either way")
+def cohort_types() -> dict[str, Column]:
+    """All rows, and those of each cohort type."""
+    kinds = {kind: (F.col("cohort_type") == kind).cast("long") for kind in (BOTH, ONLY_DX, LAB_ONLY)}
+    return {"": F.lit(1), **kinds}
+
+
+@stage("Patients found either way", stored=True, parts=cohort_types)
 def all_found(s: Study) -> DataFrame:
     labels = (BOTH, ONLY_DX, LAB_ONLY)
     found = label_cohort(first_dx(s), first_positive(s), "pat_id", labels)
@@ -172,7 +189,7 @@ def cohort_counts(s: Study) -> DataFrame:
     return s("all_found").groupBy("cohort_type").agg(F.count("*").alias("total_count"))
 
 
-@stage("Patients left after removing restricted ones")
+@stage("Patients left after removing restricted ones", stored=True)
 def cohort(s: Study) -> DataFrame:
     flags = s.src("patient_fyi_flags").where(
         F.col("pat_flag_type_c").isin(*s.cfg.restricted_flags)

@@ -139,7 +139,31 @@ def dx_flag_poa(s: Study) -> DataFrame:
     return flag_exists(target, present, FIVE_KEYS, "poa_flag", F.lit("Y"))
 
 
-@stage("Marks of all diagnosis sources by key")
+# step -> the sources that have added rows by then
+STEPS = {
+    "dx_primary": ("primary",),
+    "dx_add_secondary": ("primary", "secondary"),
+    "dx_upsert_admit": ("primary", "secondary", "admit"),
+    "dx_upsert_final_primary": ("primary", "secondary", "admit", "final_first"),
+    "dx_upsert_final_secondary": ("primary", "secondary", "admit", "final_first", "final_rest"),
+    "dx_flag_poa": ("primary", "secondary", "admit", "final_first", "final_rest"),
+}
+
+
+def rows_after(step: str, kind: int) -> Column:
+    """Whether a key has a row of an edition after a step."""
+    return reduce(or_, (F.col(f"{source}_{kind}") for source in STEPS[step]))
+
+
+def rows_by_step() -> dict[str, Column]:
+    """The rows that a key has after each step."""
+    return {
+        step: sum((rows_after(step, kind).cast("long") for kind in CODE_TYPES), F.lit(0))
+        for step in STEPS
+    }
+
+
+@stage("Marks of all diagnosis sources by key", stored=True, parts=rows_by_step)
 def diagnosis_marks(s: Study) -> DataFrame:
     """Which sources name a code, by the four keys: one join to the codes, one shuffle.
 
@@ -158,29 +182,9 @@ def diagnosis_marks(s: Study) -> DataFrame:
     return merged.withColumns(added)
 
 
-# step -> the sources that have added rows by then
-STEPS = {
-    "dx_primary": ("primary",),
-    "dx_add_secondary": ("primary", "secondary"),
-    "dx_upsert_admit": ("primary", "secondary", "admit"),
-    "dx_upsert_final_primary": ("primary", "secondary", "admit", "final_first"),
-    "dx_upsert_final_secondary": ("primary", "secondary", "admit", "final_first", "final_rest"),
-    "dx_flag_poa": ("primary", "secondary", "admit", "final_first", "final_rest"),
-}
-
-
-def rows_after(step: str, kind: int) -> Column:
-    """Whether a key has a row of an edition after a step."""
-    return reduce(or_, (F.col(f"{source}_{kind}") for source in STEPS[step]))
-
-
 def diagnosis_counts(s: Study) -> DataFrame:
     """Ledger rows of the six steps, without taking them."""
-    rows = {
-        step: sum((rows_after(step, kind).cast("long") for kind in CODE_TYPES), F.lit(0))
-        for step in STEPS
-    }
-    counted = s("diagnosis_marks").withColumns(rows)
+    counted = s("diagnosis_marks").withColumns(rows_by_step())
     return count_steps(counted, {step: (step, NOTES[step]) for step in STEPS})
 
 

@@ -7,7 +7,7 @@ from cohortforge.operators import code_map
 from cohortforge.study import Study, stage
 
 
-@stage("Primary care departments")
+@stage("Primary care departments", stored=True)
 def primary_care_depts(s: Study) -> DataFrame:
     return (
         s.src("lz_clarity_dept")
@@ -17,12 +17,12 @@ def primary_care_depts(s: Study) -> DataFrame:
     )
 
 
-@stage("Diagnosis code list")
+@stage("Diagnosis code list", stored=True)
 def dx_code_driver(s: Study) -> DataFrame:
     return s.src("dx_code_list").select("icd_type", "icd_code", "icd_desc", "dx_flag")
 
 
-@stage("Diagnosis codes with their internal ids")
+@stage("Diagnosis codes with their internal ids", stored=True)
 def dx_driver_map(s: Study) -> DataFrame:
     ids = code_map(s.src("edg_current_icd9"), s.src("edg_current_icd10"))
     return (
@@ -33,7 +33,7 @@ def dx_driver_map(s: Study) -> DataFrame:
     )
 
 
-@stage("Care providers")
+@stage("Care providers", stored=True)
 def care_providers(s: Study) -> DataFrame:
     return (
         s.src("v_cube_d_provider")
@@ -52,7 +52,7 @@ def care_providers(s: Study) -> DataFrame:
     )
 
 
-@stage("Laboratory codes with their rule step")
+@stage("Laboratory codes with their rule step", stored=True)
 def lab_rule_driver(s: Study) -> DataFrame:
     """Blank codes match nothing and repeats multiply rows, so both go."""
     return s.src("lab_rule_list").where("loinc <> ''").select("loinc", "step").distinct()
@@ -63,6 +63,6 @@ def med_selection_driver(s: Study) -> DataFrame:
     return s.src("med_selection_list")
 
 
-@stage("Chosen labs")
+@stage("Chosen labs", stored=True)
 def lab_selection_driver(s: Study) -> DataFrame:
     return s.src("lab_selection_list")

@@ -8,7 +8,7 @@ from cohortforge.operators import decode, dense_key
 from cohortforge.study import Study, stage
 
 
-@stage("Encounters")
+@stage("Encounters", stored=True)
 def encounters(s: Study) -> DataFrame:
     visits = (
         s.src("pat_enc")
@@ -65,7 +65,7 @@ def encounters(s: Study) -> DataFrame:
     ).distinct()
 
 
-@stage("Encounter key")
+@stage("Encounter key", stored=True)
 def encounter_key(s: Study) -> DataFrame:
     earlier = s.keys.get("encounter_id")
     return dense_key(s("encounters"), "pat_enc_csn_id", "encounter_id", s.cfg.salt, earlier)

@@ -8,7 +8,7 @@ from cohortforge.operators import decode, review_list, tagged_union
 from cohortforge.study import Study, stage
 
 
-@stage("Orders with results")
+@stage("Orders with results", stored=True)
 def order_procedures(s: Study) -> DataFrame:
     cfg = s.cfg
     kinds = (*cfg.imaging_types, cfg.microbiology_type, cfg.pathology_type)
@@ -113,17 +113,17 @@ def comments(s: Study, order_type: int, prefix: str) -> DataFrame:
     return tagged_union(parts, f"{prefix}_sorting")
 
 
-@stage("Microbiology comments")
+@stage("Microbiology comments", stored=True)
 def micro_comments(s: Study) -> DataFrame:
     return comments(s, s.cfg.microbiology_type, "micro")
 
 
-@stage("Pathology comments")
+@stage("Pathology comments", stored=True)
 def path_comments(s: Study) -> DataFrame:
     return comments(s, s.cfg.pathology_type, "path")
 
 
-@stage("Microbiology susceptibility")
+@stage("Microbiology susceptibility", stored=True)
 def micro_susceptibility(s: Study) -> DataFrame:
     orders = s("micro_comments").select(F.col("micro_order_id").alias("order_proc_id"))
     df = s.src("order_sensitivity").join(orders, "order_proc_id", "left_semi")
@@ -143,7 +143,7 @@ def micro_susceptibility(s: Study) -> DataFrame:
     ).distinct()
 
 
-@stage("Imaging orders")
+@stage("Imaging orders", stored=True)
 def imaging_orders(s: Study) -> DataFrame:
     return s("order_procedures").where(F.col("radiology_status_c") == s.cfg.final_radiology)
 
@@ -164,11 +164,11 @@ def report_lines(s: Study, table: str, text: str, prefix: str) -> DataFrame:
     )
 
 
-@stage("Imaging narratives")
+@stage("Imaging narratives", stored=True)
 def imaging_narratives(s: Study) -> DataFrame:
     return report_lines(s, "order_narrative", "narrative", "narr")
 
 
-@stage("Imaging impressions")
+@stage("Imaging impressions", stored=True)
 def imaging_impressions(s: Study) -> DataFrame:
     return report_lines(s, "order_impression", "impression", "impr")

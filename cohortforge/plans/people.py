@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortforge.functions import age_years, incomplete_address
 from cohortforge.operators import decode, dense_key
+from cohortforge.plans.cohort import cohort_types
 from cohortforge.study import Study, stage
 
 
@@ -22,12 +23,19 @@ def adult_filter(s: Study) -> DataFrame:
     return adults(s).select("pat_id", "birth_date", age.alias("age"))
 
 
-@stage("Pseudonymous study ids")
+@stage("Pseudonymous study ids", stored=True)
 def study_id_map(s: Study) -> DataFrame:
     return dense_key(adults(s), "pat_id", "study_id", s.cfg.salt, s.keys.get("study_id"))
 
 
-@stage("Adult cohort patients with decoded demographics")
+@stage("Numbers of people, for their sets", stored=True)
+def person_number(s: Study) -> DataFrame:
+    """A dense number for everyone in the patient table, kept from release to release."""
+    people = s.src("patient")
+    return dense_key(people, "pat_id", "number", s.cfg.salt, s.keys.get("number")).select("pat_id", "number")
+
+
+@stage("Adult cohort patients with decoded demographics", stored=True, parts=cohort_types)
 def patient_table(s: Study) -> DataFrame:
     orientation = s.src("pat_sexual_orientation").select("pat_id", "sexual_orientatn_c")
     gender = s.src("patient_4").select("pat_id", "gender_identity_c")
@@ -82,7 +90,7 @@ def patient_table(s: Study) -> DataFrame:
     ).distinct()
 
 
-@stage("Patients race records")
+@stage("Patients race records", stored=True)
 def patient_race(s: Study) -> DataFrame:
     races = s.src("patient_race").select("pat_id", "patient_race_c")
     df = s("cohort").select("pat_id").join(races, "pat_id", "left")
@@ -91,7 +99,7 @@ def patient_race(s: Study) -> DataFrame:
     ).distinct()
 
 
-@stage("Patients ethnicity records")
+@stage("Patients ethnicity records", stored=True)
 def patient_ethnicity(s: Study) -> DataFrame:
     groups = s.src("patient").select("pat_id", "ethnic_group_c")
     df = s("cohort").select("pat_id").join(groups, "pat_id", "left")
@@ -120,7 +128,7 @@ GEOCODE_COLUMNS = (
 )
 
 
-@stage("Patients geocoding records")
+@stage("Patients geocoding records", stored=True)
 def patient_geocode(s: Study) -> DataFrame:
     places = s.src("bip_pat_geocode").select("pat_id", *GEOCODE_COLUMNS)
     return places.join(s("cohort"), "pat_id", "left_semi").distinct()

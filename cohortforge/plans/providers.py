@@ -28,7 +28,7 @@ def provider_key(s: Study) -> DataFrame:
     return dense_key(provider_ids(s), "provider_id", "prov_study_id", s.cfg.salt, earlier)
 
 
-@stage("Providers")
+@stage("Providers", stored=True)
 def providers(s: Study) -> DataFrame:
     """The study's providers, described.
 

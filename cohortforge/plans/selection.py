@@ -17,7 +17,7 @@ def with_drug_classes(s: Study, df: DataFrame) -> DataFrame:
     return df
 
 
-@stage("All medication orders")
+@stage("All medication orders", stored=True)
 def all_medications(s: Study) -> DataFrame:
     cfg = s.cfg
     info = s.src("order_medinfo").select("order_med_id", "dispensable_med_id", "last_admin_inst")
@@ -116,12 +116,12 @@ def med_review_list(s: Study) -> DataFrame:
     return df.groupBy(*drug, *DRUG_CLASSES).agg(F.sum("n").alias("total"))
 
 
-@stage("Medications chosen")
+@stage("Medications chosen", stored=True)
 def select_medications(s: Study) -> DataFrame:
     return apply_selection(s("all_medications"), s("med_selection_driver"), ["medication_id"])
 
 
-@stage("All lab results")
+@stage("All lab results", stored=True)
 def all_labs(s: Study) -> DataFrame:
     cfg = s.cfg
     orders = (
@@ -184,6 +184,6 @@ def lab_review_list(s: Study) -> DataFrame:
     )
 
 
-@stage("Labs chosen")
+@stage("Labs chosen", stored=True)
 def select_labs(s: Study) -> DataFrame:
     return apply_selection(s("all_labs"), s("lab_selection_driver"), ["proc_id", "component_id"])

@@ -6,10 +6,12 @@ from cohortforge.sources.drivers import (
     MED_SELECTION,
     read_driver,
 )
+from cohortforge.sources.files import Files
 from cohortforge.sources.sinks import TIME_FORMAT, StageStore, write_csv
 
 __all__ = [
     "DX_CODES",
+    "Files",
     "LAB_RULES",
     "LAB_SELECTION",
     "MED_SELECTION",

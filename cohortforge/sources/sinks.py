@@ -2,56 +2,110 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from cohortforge.sources.files import Files
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """An extract or review list: quoted CSV with a header, in part files."""
+def csv_writer(df: DataFrame):
+    """A writer of quoted CSV with a header, in part files."""
     options = {"header": True, "quoteAll": True, "escape": '"', "emptyValue": ""}
     options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     formats = {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT}
-    df.write.mode("overwrite").options(**options, **formats).csv(path)
+    return df.write.options(**options, **formats)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """A review or driver list: quoted CSV with a header, in part files."""
+    csv_writer(df).mode("overwrite").csv(path)
+
+
+@dataclass(frozen=True)
+class Stored:
+    """What a complete stage left behind."""
+
+    name: str
+    version: str  # names what the stage was made from
+    path: str
+    rows: int  # as counted by the job that wrote them
+    schema: str
+    sets: str | None  # where the sets of its people are
 
 
 class StageStore:
     """Parquet tables under one run folder of `folder`.
 
-    On a cluster the folder must be on storage that the driver and all executors share.
+    On a cluster the folder must be on storage that the driver and all executors share. A stage is
+    complete once its record is written, after its rows: a run under the same name, after a lost
+    driver, takes complete stages over and writes the others. Every attempt has a path of its own.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, run: str | None = None):
         if not folder:
             raise ValueError("a stage store needs a folder that all executors can reach")
         self.spark = spark
-        self.root = f"{folder.rstrip('/')}/run-{uuid.uuid4().hex}"
+        self.files = Files(spark)
+        self.root = f"{folder.rstrip('/')}/{run or f'run-{uuid.uuid4().hex}'}"
         self.written: list[str] = []
+        self.stored: dict[str, Stored] = {}
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(
+        self,
+        df: DataFrame,
+        name: str,
+        version: str | None = None,
+        sets: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> DataFrame:
         """Write a stage and return it read back: later plans start from the files.
 
-        Every attempt has a path of its own, so one that failed can be repeated.
+        Its rows are counted by the job that writes them. `sets` makes the sets of its people,
+        stored beside it. With a `version`, a complete stage of that version is taken instead.
         """
-        path = f"{self.root}/{len(self.written):03d}-{name}"
-        self.written.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        version = version or uuid.uuid4().hex
+        record = self._record(name, version)
+        if not self.files.exists(record):
+            attempt = f"{self.root}/{name}/{version}/{uuid.uuid4().hex}-{name}"
+            self.written.append(attempt)
+            counted = Observation()
+            df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(attempt)
+            done = Stored(name, version, attempt, counted.get["rows"], df.schema.json(), None)
+            if sets is not None:
+                beside = f"{attempt}-people"
+                self.written.append(beside)
+                sets(self._read(done)).write.parquet(beside)
+                done = Stored(**{**asdict(done), "sets": beside})
+            self.files.publish(record, json.dumps(asdict(done)))
+        self.stored[name] = Stored(**json.loads(self.files.text(record)))
+        return self._read(self.stored[name])
+
+    def _record(self, name: str, version: str) -> str:
+        return f"{self.root}/{name}/{version}/complete.json"
+
+    def _read(self, done: Stored) -> DataFrame:
+        return self.spark.read.schema(StructType.fromJson(json.loads(done.schema))).parquet(done.path)
+
+    def people(self, names: list[str]) -> DataFrame:
+        """(stage, part, bucket, people, loose, total): the stored sets of some stages, in one scan."""
+        paths = {self.stored[n].sets: n for n in names if self.stored[n].sets}
+        sets = self.spark.read.parquet(*paths)
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"/[0-9a-f]+-(\w+)-people/[^/]*$", 1)
+        return sets.select(folder.alias("stage"), *sets.columns)
 
     def release(self) -> list[str]:
         """Delete the stages this run wrote and its folder if nothing else is in it."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        dropped = []
-        for written in self.written:
-            path = jvm.org.apache.hadoop.fs.Path(written)
-            if path.getFileSystem(conf).delete(path, True):
-                dropped.append(written)
-        self.written = []
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        files = root.getFileSystem(conf)
-        if files.exists(root) and not len(files.listStatus(root)):
-            files.delete(root, False)
+        dropped = [path for path in self.written if self.files.delete(path)]
+        for done in self.stored.values():
+            if done.path in self.written:
+                self.files.delete(self._record(done.name, done.version))
+        self.files.delete_empty(self.root)
+        self.written, self.stored = [], {}
         return dropped

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortforge import functions as C
 from cohortforge import operators as O
 from cohortforge import sources as S
-from cohortforge.plans.release import export, review, select
+from cohortforge.plans.release import export, review, select, verify
 from cohortforge.study import NOTES, STAGES, Study
 from testbed.oracle import AS_OF, HARMONISED, INCOMPLETE, ORACLE, ledger, statement, within, years
 from testbed.sources import CONFIG, study
@@ -150,6 +150,18 @@ def q_extract_comments_to_csv(s, spark):
     return _read_back(spark, s("extract_microbiology"), path)
 
 
+@query("""
+select 'extract_social_history' as extract, count(*) as rows, true as whole from st_extract_social_history
+union all
+select 'extract_imaging', count(*), true from st_extract_imaging""")
+def q_release_manifest(s, spark):
+    """Two extracts published one after the other, and their files held against the manifest."""
+    folder = f"{s.store.root}/files/published"
+    for name in ("extract_social_history", "extract_imaging"):
+        export(s, folder, [name])
+    return verify(spark, folder).select("extract", "rows", "whole")
+
+
 @query("""
 select 'medication' as kind, medication_id as id, cast(null as bigint) as component, count(*) as n
 from st_all_medications
@@ -397,6 +409,49 @@ def q_upsert(s, spark):
     return O.upsert(target, source, ["k", "y"], {"late": F.lit("Y")}, added)
 
 
+@query("""
+select pat_id, pat_enc_csn_id, contact_date, icd_code, icd_type,
+  case when o.k is null then 'inserted' when n.k is null then 'deleted' else 'updated' end as change,
+  case when o.k and n.k then array_to_string(list_filter([
+    if(o.primary_sec_flag is distinct from n.primary_sec_flag, 'primary_sec_flag', ''),
+    if(o.admit_dx_flag is distinct from n.admit_dx_flag, 'admit_dx_flag', ''),
+    if(o.poa_flag is distinct from n.poa_flag, 'poa_flag', ''),
+    if(o.hsp_final_dx_flag is distinct from n.hsp_final_dx_flag, 'hsp_final_dx_flag', '')], lambda c: c <> ''), ',') end as columns
+from (select *, true as k from st_dx_upsert_admit) o
+full join (select *, true as k from st_diagnosis_fact where admit_dx_flag is null or poa_flag is null) n
+  using (pat_id, pat_enc_csn_id, contact_date, icd_code, icd_type)
+where columns is null or columns <> ''""")
+def q_release_changes(s, spark):
+    """What the later load steps and a narrower rule change in the diagnosis table."""
+    keys = ["pat_id", "pat_enc_csn_id", "contact_date", "icd_code", "icd_type"]
+    later = s("diagnosis_fact").where("admit_dx_flag is null or poa_flag is null")
+    changes = O.table_changes(s("dx_upsert_admit"), later, keys)
+    return changes.withColumn("columns", F.array_join("columns", ","))
+
+
+LAYOUT = (
+    O.Field("order_proc_id", "long", required=True),
+    O.Field("ord_value", "int", required=True, longest=8),
+    O.Field("reference_unit", required=True, longest=5),
+)
+
+
+@query("""
+select order_proc_id, ord_value, reference_unit, array_to_string(list_filter([
+    if(order_proc_id is null, 'order_proc_id is missing', ''), if(ord_value is null, 'ord_value is missing', ''),
+    if(not regexp_full_match(trim(ord_value), '[+-]?[0-9]{1,9}'), 'ord_value is not int', ''),
+    if(length(ord_value) > 8, 'ord_value is longer than 8', ''),
+    if(reference_unit is null, 'reference_unit is missing', ''),
+    if(length(reference_unit) > 5, 'reference_unit is longer than 5', '')], lambda r: r <> ''), ', ') as reasons, count(*) as n
+from (select * replace (nullif(ord_value, '') as ord_value, nullif(reference_unit, '') as reference_unit) from order_results)
+group by all having reasons <> ''""")
+def q_rejects(s, spark):
+    """Results that do not fit a declared layout, with the reasons; the rest would be accepted."""
+    rows = O.judged(s.src("order_results").select(*(f.name for f in LAYOUT)), LAYOUT)
+    bad = O.rejected(rows).withColumn("reasons", F.array_join("reasons", ", "))
+    return bad.groupBy("order_proc_id", "ord_value", "reference_unit", "reasons").agg(F.count("*").alias("n"))
+
+
 @query(f"""
 select t.k, cast(t.y as integer) as y, t.seen, case when exists (
   select 1 from {_SOURCE} s where s.k = t.k and s.y = t.y) then 'Y' else t.late end as late
