@@ -5,7 +5,11 @@ from cohortforge.functions.dates import (
     as_text_date,
     day_of,
     in_window,
+    join_landed,
+    month_of,
     months_age,
+    slice_of,
+    windowed,
 )
 from cohortforge.functions.results import harmonize_numeric, harmonize_qualitative
 from cohortforge.functions.text import blank_to_null, concat_present, has_text, trimmed
@@ -23,7 +27,11 @@ __all__ = [
     "has_text",
     "in_window",
     "incomplete_address",
+    "join_landed",
+    "month_of",
     "months_age",
     "resolve_medication",
+    "slice_of",
     "trimmed",
+    "windowed",
 ]

@@ -1,5 +1,6 @@
 from cohortforge.operators.contracts import Field, accepted, enforced, judged, rejected
 from cohortforge.operators.events import (
+    among,
     exclude,
     first_event,
     label_cohort,
@@ -19,6 +20,7 @@ from cohortforge.operators.review import apply_selection, review_list, tagged_un
 __all__ = [
     "Field",
     "accepted",
+    "among",
     "apply_selection",
     "check_private",
     "code_map",

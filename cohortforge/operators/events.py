@@ -97,3 +97,14 @@ def rule_counts(
     met = [F.when(F.col("marks").bitwiseAND(1 << k) != 0, F.lit(name)) for k, name in enumerate(rules)]
     names = F.array_join(F.array_compact(F.array(*met)), "+").alias("rules")
     return counted.where("events > 0 or people > 0").select("kind", names, "events", "people")
+
+
+def among(df: DataFrame, people: DataFrame, key: str) -> DataFrame:
+    """Rows of the people listed, pruned before they are shuffled.
+
+    Few people are broadcast. For more, Spark puts a Bloom filter of their keys into the scan of
+    `df`, and the semi-join behind it is exact; it does so where that side has a comparison, and
+    this one holds for every key. `session.configure` sets from which sizes on.
+    """
+    ids = people.where(F.col(key) >= "").select(key)
+    return df.join(ids, key, "left_semi")

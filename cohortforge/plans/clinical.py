@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.functions import age_years, choose_icd, in_window
-from cohortforge.operators import decode, latest_records
+from cohortforge.functions import age_years, choose_icd, windowed
+from cohortforge.operators import among, decode, latest_records
 from cohortforge.study import Study, stage
 
 
@@ -14,7 +14,7 @@ def vitals(s: Study) -> DataFrame:
         s.src("ip_flwsht_meas")
         .where(F.col("flo_meas_id").isin(*s.cfg.vital_measures))
         .where("meas_value <> ''")
-        .where(in_window(F.col("recorded_time"), s.cfg))
+        .transform(windowed, "recorded_time", s.cfg)
     )
     measures = s.src("ip_flo_gp_data").select(
         "flo_meas_id", F.col("disp_name").alias("measure_name"), "flo_meas_name"
@@ -73,7 +73,7 @@ SOCIAL_ANSWERS = (
 def latest_social_history(s: Study) -> DataFrame:
     """Lookups that feed no output column are left out: the rows are distinct."""
     people = s.src("patient").select("pat_id", "birth_date", "sex_c")
-    history = s.src("social_hx").join(s("cohort"), "pat_id", "left_semi")
+    history = s.src("social_hx").transform(among, s("cohort"), "pat_id")
     df = latest_records(history, "pat_id", "pat_enc_date_real").join(people, "pat_id")
     df = decode(df, s.src("zc_sex"), "sex_c", "rcpt_mem_sex_c", "gender")
     df = decode(
@@ -115,7 +115,7 @@ def problem_list(s: Study) -> DataFrame:
     problems = (
         s.src("problem_list")
         .where("rec_archived_yn = 'N'")
-        .where(in_window(F.col("noted_date"), s.cfg))
+        .transform(windowed, "noted_date", s.cfg)
         .withColumnRenamed("problem_ept_csn", "pat_enc_csn_id")
     )
     visits = s("encounters").select("pat_id", "pat_enc_csn_id", "effective_date_dt")
@@ -191,7 +191,7 @@ def adt_events(s: Study) -> DataFrame:
     moves = (
         s.src("clarity_adt")
         .where("event_type_c in (1, 3) and event_subtype_c <> 2")
-        .where(in_window(F.col("effective_time"), s.cfg))
+        .transform(windowed, "effective_time", s.cfg)
     )
     stays = (
         s.src("pat_enc_hsp_2")
@@ -257,8 +257,8 @@ def appointments(s: Study) -> DataFrame:
     )
     return (
         s.src("v_sched_appt")
-        .where(in_window(F.col("checkin_dttm"), s.cfg))
-        .join(s("cohort"), "pat_id", "left_semi")
+        .transform(windowed, "checkin_dttm", s.cfg)
+        .transform(among, s("cohort"), "pat_id")
         .join(kinds, "prc_id", "left")
         .select(
             "pat_id",

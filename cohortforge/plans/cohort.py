@@ -8,8 +8,8 @@ from cohortforge.functions import (
     decode_value,
     harmonize_numeric,
     harmonize_qualitative,
-    in_window,
     trimmed,
+    windowed,
 )
 from cohortforge.operators import (
     exclude,
@@ -37,10 +37,9 @@ RESULT_COLUMNS = (
 @stage("First flagged diagnosis per patient", stored=True)
 def first_dx_date(s: Study) -> DataFrame:
     flagged = s("dx_driver_map").where(F.col("dx_flag") == s.cfg.dx_flag).select("dx_id")
-    dx = s.src("pat_enc_dx").join(flagged.distinct(), "dx_id", "left_semi")
-    return first_event(
-        dx, "pat_id", "contact_date", in_window(F.col("contact_date"), s.cfg), "first_hiv_date"
-    )
+    dx = s.src("pat_enc_dx").transform(windowed, "contact_date", s.cfg)
+    dx = dx.join(flagged.distinct(), "dx_id", "left_semi")
+    return first_event(dx, "pat_id", "contact_date", out="first_hiv_date")
 
 
 @stage("Results of the listed laboratory codes", stored=True)
@@ -58,7 +57,7 @@ def coded_lab_pull(s: Study) -> DataFrame:
     orders = (
         s.src("order_proc")
         .where(F.col("order_type_c").isin(*cfg.cohort_lab_types))
-        .where(in_window(F.col("order_time"), cfg))
+        .transform(windowed, "order_time", cfg)
         .select(
             "order_proc_id",
             "pat_id",

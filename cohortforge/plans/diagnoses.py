@@ -6,8 +6,16 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.functions import day_of, in_window
-from cohortforge.operators import code_map, count_steps, decode, flag_exists, merge_flags, upsert
+from cohortforge.functions import day_of, in_window, join_landed, windowed
+from cohortforge.operators import (
+    among,
+    code_map,
+    count_steps,
+    decode,
+    flag_exists,
+    merge_flags,
+    upsert,
+)
 from cohortforge.study import NOTES, Study, stage
 
 FOUR_KEYS = ["pat_id", "pat_enc_csn_id", "contact_date", "icd_code"]
@@ -33,7 +41,7 @@ def encounter_dx(s: Study) -> DataFrame:
     source = F.when(F.col("primary_dx_yn") == "Y", "primary").otherwise("secondary")
     return (
         s.src("pat_enc_dx")
-        .where(in_window(F.col("contact_date"), s.cfg))
+        .transform(windowed, "contact_date", s.cfg)
         .join(people, "pat_id")
         .withColumns(
             {
@@ -47,18 +55,14 @@ def encounter_dx(s: Study) -> DataFrame:
 
 
 def admit_dx(s: Study) -> DataFrame:
-    calendar = s.src("date_dimension").select(
-        F.col("epic_dte").alias("pat_enc_date_real"), "calendar_dt"
-    )
-    dx = (
-        s.src("hsp_admit_diag")
-        .where("pat_enc_date_real is not null and dx_id is not null")
-        .join(calendar, "pat_enc_date_real")
-    )
-    dx = dx.withColumn("contact_date", day_of(dx, "calendar_dt"))
-    dx = dx.where(in_window(F.col("contact_date"), s.cfg))
+    days = s.src("date_dimension")
+    days = days.select(F.col("epic_dte").alias("pat_enc_date_real"), day_of(days, "calendar_dt").alias("contact_date"))
+    # only the window's days, so that a table landed in slices of days is pruned by them
+    days = days.where(in_window(F.col("contact_date"), s.cfg))
+    dx = s.src("hsp_admit_diag").where("pat_enc_date_real is not null and dx_id is not null")
+    dx = join_landed(dx, days, "pat_enc_date_real")
     marks = {"source": F.lit("admit"), "present": F.lit(False), "adult": F.lit(True)}
-    return dx.join(s("cohort"), "pat_id", "left_semi").withColumns(marks).select(*UNCODED)
+    return dx.transform(among, s("cohort"), "pat_id").withColumns(marks).select(*UNCODED)
 
 
 def account_dx(s: Study) -> DataFrame:

@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.functions import in_window
-from cohortforge.operators import decode, dense_key
+from cohortforge.functions import windowed
+from cohortforge.operators import among, decode, dense_key
 from cohortforge.study import Study, stage
 
 
@@ -12,8 +12,8 @@ from cohortforge.study import Study, stage
 def encounters(s: Study) -> DataFrame:
     visits = (
         s.src("pat_enc")
-        .where(in_window(F.col("effective_date_dt"), s.cfg))
-        .join(s("cohort"), "pat_id", "left_semi")
+        .transform(windowed, "effective_date_dt", s.cfg)
+        .transform(among, s("cohort"), "pat_id")
     )
     stays = s.src("pat_enc_hsp").select("pat_enc_csn_id", "disch_disp_c", "ed_disposition_c")
     places = s.src("clarity_dep").select(

@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.functions import has_text, in_window
-from cohortforge.operators import decode, review_list, tagged_union
+from cohortforge.functions import has_text, windowed
+from cohortforge.operators import among, decode, review_list, tagged_union
 from cohortforge.study import Study, stage
 
 
@@ -19,11 +19,11 @@ def order_procedures(s: Study) -> DataFrame:
         s.src("order_proc")
         .where(F.col("order_status_c") == cfg.completed_status)
         .where(wanted)
-        .join(s("cohort"), "pat_id", "left_semi")
+        .transform(among, s("cohort"), "pat_id")
     )
     results = (
         s.src("order_results")
-        .where(in_window(F.col("result_time"), cfg))
+        .transform(windowed, "result_time", cfg)
         .select(
             "order_proc_id",
             "line",
@@ -113,17 +113,17 @@ def comments(s: Study, order_type: int, prefix: str) -> DataFrame:
     return tagged_union(parts, f"{prefix}_sorting")
 
 
-@stage("Microbiology comments", stored=True)
+@stage("Microbiology comments", stored=True, by="micro_order_id")
 def micro_comments(s: Study) -> DataFrame:
     return comments(s, s.cfg.microbiology_type, "micro")
 
 
-@stage("Pathology comments", stored=True)
+@stage("Pathology comments", stored=True, by="path_order_id")
 def path_comments(s: Study) -> DataFrame:
     return comments(s, s.cfg.pathology_type, "path")
 
 
-@stage("Microbiology susceptibility", stored=True)
+@stage("Microbiology susceptibility", stored=True, by="order_proc_id")
 def micro_susceptibility(s: Study) -> DataFrame:
     orders = s("micro_comments").select(F.col("micro_order_id").alias("order_proc_id"))
     df = s.src("order_sensitivity").join(orders, "order_proc_id", "left_semi")

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions import age_years, incomplete_address
-from cohortforge.operators import decode, dense_key
+from cohortforge.operators import among, decode, dense_key
 from cohortforge.plans.cohort import cohort_types
 from cohortforge.study import Study, stage
 
@@ -131,4 +131,4 @@ GEOCODE_COLUMNS = (
 @stage("Patients geocoding records", stored=True)
 def patient_geocode(s: Study) -> DataFrame:
     places = s.src("bip_pat_geocode").select("pat_id", *GEOCODE_COLUMNS)
-    return places.join(s("cohort"), "pat_id", "left_semi").distinct()
+    return places.transform(among, s("cohort"), "pat_id").distinct()

@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.functions import harmonize_numeric, in_window, resolve_medication, trimmed
-from cohortforge.operators import apply_selection, decode, review_list
+from cohortforge.functions import harmonize_numeric, resolve_medication, trimmed, windowed
+from cohortforge.operators import among, apply_selection, decode, review_list
 from cohortforge.plans.cohort import RESULT_COLUMNS
 from cohortforge.study import Study, stage
 
@@ -27,8 +27,8 @@ def all_medications(s: Study) -> DataFrame:
     orders = (
         s.src("order_med")
         .where("ordering_date is not null or start_date is not null")
-        .where(in_window(F.col("order_start_time"), cfg))
-        .join(s("cohort"), "pat_id", "left_semi")
+        .transform(windowed, "order_start_time", cfg)
+        .transform(among, s("cohort"), "pat_id")
     )
     routes = s.src("zc_admin_route").select(
         F.col("med_route_c").alias("route_c"),
@@ -127,7 +127,7 @@ def all_labs(s: Study) -> DataFrame:
     orders = (
         s.src("order_proc")
         .where(F.col("order_type_c").isin(*cfg.lab_types))
-        .where(in_window(F.col("ordering_date"), cfg))
+        .transform(windowed, "ordering_date", cfg)
         .select(
             "order_proc_id",
             "proc_id",
@@ -143,7 +143,7 @@ def all_labs(s: Study) -> DataFrame:
         s.src("order_results")
         .where("ord_value is not null")
         .drop("result_time")
-        .join(s("cohort"), "pat_id", "left_semi")
+        .transform(among, s("cohort"), "pat_id")
     )
     components = s.src("clarity_component").select(
         "component_id", F.col("name").alias("component_name"), "common_name"

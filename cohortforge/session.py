@@ -12,6 +12,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # fact tables of this size are filtered by the people's keys as they are scanned
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     "spark.sql.session.timeZone": "UTC",
     # the JVM never compiles a method over 8000 bytes; wide stages with many result
     # patterns would exceed that and stay interpreted

@@ -7,6 +7,7 @@ from cohortforge.sources.drivers import (
     read_driver,
 )
 from cohortforge.sources.files import Files
+from cohortforge.sources.landing import land
 from cohortforge.sources.sinks import TIME_FORMAT, StageStore, write_csv
 
 __all__ = [
@@ -21,6 +22,7 @@ __all__ = [
     "from_frames",
     "from_parquet",
     "from_tables",
+    "land",
     "read_driver",
     "remembered",
     "write_csv",

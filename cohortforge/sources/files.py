@@ -9,6 +9,9 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 
 
+SMALL = 1 << 20  # bytes of a list that is compared by its rows
+
+
 class Files:
     """Files by path, on any file system Spark can reach."""
 
@@ -80,12 +83,14 @@ class Files:
     def print_of(self, df: DataFrame) -> str | None:
         """What a table's files are: a digest of their paths, sizes, times and the table's layout.
 
-        None for a table that is not read from files.
+        Of a small table that is not read from files, a list in the plan, its rows; else None.
         """
         paths = set(df.inputFiles())
-        if not paths:
-            return None
         digest = hashlib.sha256(df.schema.json().encode())
+        if not paths:
+            if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SMALL:
+                return None
+            digest.update(repr(sorted(str(tuple(r)) for r in df.collect())).encode())
         for folder in sorted({unquote(p.rpartition("/")[0]) for p in paths}):
             digest.update(repr(self.listed(folder)).encode())
         return digest.hexdigest()

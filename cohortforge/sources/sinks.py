@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable
@@ -38,7 +39,9 @@ class Stored:
     path: str
     rows: int  # as counted by the job that wrote them
     schema: str
-    sets: str | None  # where the sets of its people are
+    sets: str | None = None  # where the sets of its people are
+    by: str | None = None  # the key its rows are dealt out by, and into how many buckets
+    buckets: int = 0
 
 
 class StageStore:
@@ -47,13 +50,18 @@ class StageStore:
     On a cluster the folder must be on storage that the driver and all executors share. A stage is
     complete once its record is written, after its rows: a run under the same name, after a lost
     driver, takes complete stages over and writes the others. Every attempt has a path of its own.
+
+    With `buckets`, stages are dealt out by their key as they are written, so that joins of stored
+    stages on it shuffle neither side. That is one shuffle of each stage, for tables which many later
+    joins read; small tables are better without.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, run: str | None = None):
+    def __init__(self, spark: SparkSession, folder: str, run: str | None = None, buckets: int = 0):
         if not folder:
             raise ValueError("a stage store needs a folder that all executors can reach")
         self.spark = spark
         self.files = Files(spark)
+        self.buckets = buckets
         self.root = f"{folder.rstrip('/')}/{run or f'run-{uuid.uuid4().hex}'}"
         self.written: list[str] = []
         self.stored: dict[str, Stored] = {}
@@ -64,6 +72,7 @@ class StageStore:
         name: str,
         version: str | None = None,
         sets: Callable[[DataFrame], DataFrame] | None = None,
+        by: str | None = None,
     ) -> DataFrame:
         """Write a stage and return it read back: later plans start from the files.
 
@@ -75,9 +84,15 @@ class StageStore:
         if not self.files.exists(record):
             attempt = f"{self.root}/{name}/{version}/{uuid.uuid4().hex}-{name}"
             self.written.append(attempt)
-            counted = Observation()
-            df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(attempt)
-            done = Stored(name, version, attempt, counted.get["rows"], df.schema.json(), None)
+            counted, buckets = Observation(), self.buckets if by else 0
+            rows = df.repartition(buckets, by) if buckets else df
+            writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.format("parquet")
+            if buckets:
+                table = self._table(attempt)
+                writer.option("path", attempt).bucketBy(buckets, by).sortBy(by).saveAsTable(table)
+            else:
+                writer.save(attempt)
+            done = Stored(name, version, attempt, counted.get["rows"], df.schema.json(), by=by, buckets=buckets)
             if sets is not None:
                 beside = f"{attempt}-people"
                 self.written.append(beside)
@@ -90,8 +105,20 @@ class StageStore:
     def _record(self, name: str, version: str) -> str:
         return f"{self.root}/{name}/{version}/complete.json"
 
+    def _table(self, path: str) -> str:
+        """The name of a bucketed table in the session's catalog."""
+        return f"stage_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+
     def _read(self, done: Stored) -> DataFrame:
-        return self.spark.read.schema(StructType.fromJson(json.loads(done.schema))).parquet(done.path)
+        schema = StructType.fromJson(json.loads(done.schema))
+        if not done.buckets:
+            return self.spark.read.schema(schema).parquet(done.path)
+        table = self._table(done.path)
+        if not self.spark.catalog.tableExists(table):  # written by an earlier session
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            dealt = f"clustered by (`{done.by}`) sorted by (`{done.by}`) into {done.buckets} buckets"
+            self.spark.sql(f"create table {table} ({columns}) using parquet {dealt} location '{done.path}'")
+        return self.spark.table(table)
 
     def people(self, names: list[str]) -> DataFrame:
         """(stage, part, bucket, people, loose, total): the stored sets of some stages, in one scan."""
@@ -102,6 +129,9 @@ class StageStore:
 
     def release(self) -> list[str]:
         """Delete the stages this run wrote and its folder if nothing else is in it."""
+        for done in self.stored.values():
+            if done.buckets:
+                self.spark.sql(f"drop table if exists {self._table(done.path)}")
         dropped = [path for path in self.written if self.files.delete(path)]
         for done in self.stored.values():
             if done.path in self.written:

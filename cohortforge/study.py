@@ -31,6 +31,7 @@ class Stage:
     note: str
     stored: bool  # written once, as other stages or the ledger read it
     parts: Callable[[], dict[str, Column]] | None  # of its rows, counted apart
+    by: str  # the key that a store with buckets deals its rows out by
 
 
 REGISTERED: dict[str, Stage] = {}
@@ -39,13 +40,16 @@ NOTES: dict[str, str] = {}
 
 
 def stage(
-    note: str, stored: bool = False, parts: Callable[[], dict[str, Column]] | None = None
+    note: str,
+    stored: bool = False,
+    parts: Callable[[], dict[str, Column]] | None = None,
+    by: str = PERSON,
 ) -> Callable[[StageFunction], StageFunction]:
     """Register a stage function under its own name, with its ledger note."""
 
     def register(function: StageFunction) -> StageFunction:
         name = function.__name__
-        REGISTERED[name] = Stage(function, note, stored, parts)
+        REGISTERED[name] = Stage(function, note, stored, parts, by)
         STAGES[name] = function
         NOTES[name] = note
         return function
@@ -117,7 +121,9 @@ class Study:
             finally:
                 self._building.pop()
             if self.store is not None and REGISTERED[name].stored:
-                df = self.store.save(df, name, self.version(name), self._sets_of(name, df))
+                key = REGISTERED[name].by
+                by = key if key in df.columns else None
+                df = self.store.save(df, name, self.version(name), self._sets_of(name, df), by)
             self._built[name] = df
         return self._built[name]
 

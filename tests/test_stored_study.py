@@ -32,10 +32,10 @@ def stored(spark, sf_dir, tmp_path):
 class Broken(StageStore):
     """A driver that is lost while a stage is written."""
 
-    def save(self, df, name, version=None, sets=None):
+    def save(self, df, name, version=None, sets=None, by=None):
         if name == "cohort":
             df = df.withColumn("pat_id", F.raise_error(F.lit("lost")).cast("string"))
-        return super().save(df, name, version, sets)
+        return super().save(df, name, version, sets, by)
 
 
 def names(store):
@@ -141,6 +141,97 @@ def test_sets_of_parts_and_of_nothing(spark):
     assert O.people_sets(df.limit(0), "pat_id", numbers).collect() == []
 
 
+# --- layout -----------------------------------------------------------------
+
+
+@pytest.fixture
+def never_broadcast(spark):
+    """Joins as they are where no side is small, and settings to lower what is large."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {}
+
+    def put(settings):
+        before.update({k: spark.conf.get(k, None) for k in settings if k not in before})
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+
+    put(changed)
+    yield put
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_stored_stages_join_without_a_shuffle(spark, sf_dir, tmp_path, never_broadcast):
+    make = lambda buckets: Study(ViewSources(spark, sf_dir), CONFIG, StageStore(spark, str(tmp_path), f"r{buckets}", buckets))
+    dealt, plain = make(4), make(0)
+
+    def joined(s):
+        return s("vitals").join(s("patient_table").select("pat_id", "study_id"), "pat_id")
+
+    assert "Exchange" not in physical(joined(dealt)) and "SortMergeJoin" in physical(joined(dealt))
+    assert "Exchange" in physical(joined(plain))
+    assert joined(dealt).count() == joined(plain).count() > 0
+    again = make(4)  # as a new session would find them
+    for done in dealt.store.stored.values():
+        if done.buckets:
+            spark.sql(f"drop table if exists {again.store._table(done.path)}")
+    assert "Exchange" not in physical(joined(again)) and again.store.written == []
+    assert joined(again).count() == joined(plain).count()
+    assert dealt.store.release()
+
+
+def test_the_window_prunes_landed_tables(spark, sf_dir, tmp_path):
+    views = ViewSources(spark, sf_dir)
+    landed = {"pat_enc_dx": "contact_date", "order_proc": "order_time", "hsp_admit_diag": "pat_enc_date_real"}
+    for name, column in landed.items():
+        S.land(views(name), column, str(tmp_path / name), spread=2)
+    sources = S.from_frames({n: spark.read.parquet(str(tmp_path / n)) for n in landed}, views)
+    s, plain = Study(sources, CONFIG), study(spark, sf_dir)
+    for name in ("cohort", "patient_table", "encounters"):
+        plain(name)
+    s.reuse(plain, ["cohort", "patient_table", "encounters"])
+    for name in ("first_dx_date", "coded_lab_pull", "diagnosis_fact"):
+        found, expected = s(name), plain(name)
+        assert found.columns == expected.columns
+        assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+    text = physical(s("first_dx_date"))
+    assert "PartitionFilters: [isnotnull(contact_date_month" in text and "1996-03-01" in text
+    assert "PartitionFilters: [isnotnull(order_time_month" in physical(s("coded_lab_pull"))
+    from cohortforge.plans.diagnoses import admit_dx
+
+    assert "dynamicpruningexpression(pat_enc_date_real_slice" in physical(admit_dx(s))
+
+
+def test_rows_without_a_time_are_landed_too(spark, tmp_path):
+    df = spark.sql("select * from values (1, timestamp '2020-01-31 10:00:00'), (2, null), (3, timestamp '2020-02-01') as t(k, ts)")
+    assert S.land(df, "ts", str(tmp_path / "t")) == "ts_month"
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert sorted((r["k"], str(r["ts_month"])) for r in back.collect()) == [(1, "2020-01-01"), (2, "None"), (3, "2020-02-01")]
+
+
+def test_a_filter_of_the_peoples_keys_goes_before_the_shuffle(spark, sf_dir, never_broadcast):
+    """Past the broadcast threshold rows of other people are not shuffled; the result is the same."""
+    s = study(spark, sf_dir)
+    few = O.first_event(s("cohort"), "pat_id", "first_hiv_dx_date", F.col("pat_id").startswith("1")).select("pat_id")
+    few = s.store.save(few, "few_people")
+    labs = s.store.save(s.src("order_results").select("pat_id", "order_proc_id"), "all_results")
+    expected = labs.join(few, "pat_id", "left_semi").count()
+    sizes = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+
+    def shuffled(limit):
+        never_broadcast({sizes: limit, "spark.sql.adaptive.enabled": "false"})
+        kept = O.among(labs, few, "pat_id")
+        assert kept.count() == expected
+        return ("might_contain" in physical(kept)), kept
+
+    without, _ = shuffled("1TB")
+    with_filter, kept = shuffled("1")
+    assert with_filter and not without
+    before_the_shuffle = kept._jdf.queryExecution().executedPlan().toString()
+    assert before_the_shuffle.index("Exchange hashpartitioning(pat_id") < before_the_shuffle.index("might_contain")
+    assert expected < labs.count() / 2
+
+
 # --- merges and changes -----------------------------------------------------
 
 
