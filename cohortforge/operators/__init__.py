@@ -14,7 +14,7 @@ from cohortforge.operators.lookup import code_map, decode
 from cohortforge.operators.merge import flag_exists, merge_flags, table_changes, upsert
 from cohortforge.operators.peoplesets import count_common, count_sets, labelled_sets, people_sets
 from cohortforge.operators.privacy import check_private, deidentify
-from cohortforge.operators.profile import mask_small, panel_stats, profile
+from cohortforge.operators.profile import mask_small, panel_stats, profile, suppress
 from cohortforge.operators.review import apply_selection, review_list, tagged_union
 
 __all__ = [
@@ -50,6 +50,7 @@ __all__ = [
     "review_list",
     "rule_counts",
     "rule_events",
+    "suppress",
     "table_changes",
     "tagged_union",
     "upsert",

@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Field:
-    """A declared column. Text that is not of its type, is too long, or is missing does not fit."""
+    """A declared column. A value that is not of its type, is too long, or is missing does not fit."""
 
     name: str
-    type: str = "string"
+    type: str | None = None  # as it is
     required: bool = False
     longest: int | None = None  # characters of its text
 
 
 def fitted(field: Field) -> Column:
     """The column in its declared type; NULL where it does not fit."""
-    return F.col(field.name).try_cast(field.type)
+    return F.col(field.name).try_cast(field.type) if field.type else F.col(field.name)
 
 
 def faults(field: Field) -> list[Column]:
@@ -28,7 +28,7 @@ def faults(field: Field) -> list[Column]:
     value, found = F.col(field.name), []
     if field.required:
         found.append(F.when(value.isNull(), f"{field.name} is missing"))
-    if field.type != "string":
+    if field.type:
         found.append(F.when(value.isNotNull() & fitted(field).isNull(), f"{field.name} is not {field.type}"))
     if field.longest is not None:
         found.append(F.when(F.length(value.cast("string")) > field.longest, f"{field.name} is longer than {field.longest}"))

@@ -81,3 +81,34 @@ def counted_median(
 def mask_small(df: DataFrame, column: str, floor: int = 10) -> DataFrame:
     """Raise counts under `floor` to `floor`."""
     return df.withColumn(column, F.greatest(F.col(column), F.lit(floor)))
+
+
+def suppress(df: DataFrame, group: list[str], label: str, value: str, floor: int = 10) -> DataFrame:
+    """The cells of each group with the small ones hidden so that the group's total does not show them.
+
+    Adds `shown`, the cell or NULL, and `total`, the group's sum or NULL. In a group with a cell
+    under `floor`, cells are hidden from the smallest on, until there are two of them or more that
+    together reach the floor: the total minus the cells shown then tells neither. Where a group has
+    not so many, its total is hidden. A group's cells are ordered in one task, so `label` should be
+    a dimension with few values.
+    """
+    cells = Window.partitionBy(*group)
+    before = cells.orderBy(F.asc(value), F.asc_nulls_first(label)).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumns(
+        {
+            "_small": F.max((F.col(value) < floor).cast("int")).over(cells) == 1,
+            "_n": F.count(value).over(before),
+            "_sum": F.coalesce(F.sum(value).over(before), F.lit(0)),
+            "_all": F.sum(value).over(cells),
+        }
+    )
+    hidden = F.col("_small") & ((F.col(value) < floor) | (F.col("_n") < 2) | (F.col("_sum") < floor))
+    rows = rows.withColumn("_hidden", hidden)
+    enough = (F.sum(F.col("_hidden").cast("int")).over(cells) >= 2) & (
+        F.sum(F.when(F.col("_hidden"), F.col(value))).over(cells) >= floor
+    )
+    return rows.select(
+        *df.columns,
+        F.when(~F.col("_hidden"), F.col(value)).alias("shown"),
+        F.when(~F.col("_small") | enough, F.col("_all")).alias("total"),
+    )

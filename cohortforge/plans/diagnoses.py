@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from cohortforge.functions import day_of, in_window, join_landed, windowed
 from cohortforge.operators import (
+    Field,
     among,
     code_map,
     count_steps,
     decode,
+    enforced,
     flag_exists,
     merge_flags,
     upsert,
@@ -143,6 +145,19 @@ def dx_flag_poa(s: Study) -> DataFrame:
     return flag_exists(target, present, FIVE_KEYS, "poa_flag", F.lit("Y"))
 
 
+# The declared layout of the fact.
+LAYOUT = (
+    Field("pat_id", longest=18),
+    Field("pat_enc_csn_id", required=True),
+    Field("contact_date"),
+    Field("icd_code", longest=254),
+    Field("icd_type"),
+    Field("primary_sec_flag", longest=1),
+    Field("admit_dx_flag", longest=1),
+    Field("poa_flag", longest=50),
+    Field("hsp_final_dx_flag", longest=1),
+)
+
 # step -> the sources that have added rows by then
 STEPS = {
     "dx_primary": ("primary",),
@@ -194,7 +209,10 @@ def diagnosis_counts(s: Study) -> DataFrame:
 
 @stage("Diagnoses")
 def diagnosis_fact(s: Study) -> DataFrame:
-    """All six steps at once: each edition of a key with a mark becomes a row."""
+    """All six steps at once: each edition of a key with a mark becomes a row.
+
+    A row that breaks the declared layout stops the job.
+    """
 
     def edition(kind: int):
         def has(source: str):
@@ -217,6 +235,6 @@ def diagnosis_fact(s: Study) -> DataFrame:
         )
 
     editions = F.explode(F.array(*(edition(kind) for kind in CODE_TYPES))).alias("e")
-    return s("diagnosis_marks").select(*FOUR_KEYS, editions).where("e.exists").select(
-        *FOUR_KEYS, "e.icd_type", *(f"e.{name}" for name in FLAGS)
-    )
+    rows = s("diagnosis_marks").select(*FOUR_KEYS, editions).where("e.exists")
+    rows = rows.select(*FOUR_KEYS, "e.icd_type", *(f"e.{name}" for name in FLAGS))
+    return enforced(rows, LAYOUT).select(rows.columns)

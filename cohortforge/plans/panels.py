@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions import concat_present, months_age
-from cohortforge.operators import panel_stats, profile
+from cohortforge.operators import panel_stats, profile, suppress
 from cohortforge.study import Study, stage
 
 # Dimension label -> column.
@@ -51,6 +51,14 @@ def panel_profile(s: Study) -> DataFrame:
     return profile(panel_places(s), "prov_study_id", PANEL_DIMENSIONS, "pat_id")
 
 
+@stage("Panel profile for release")
+def panel_profile_masked(s: Study) -> DataFrame:
+    """The profile without small cells, nor what shows them beside a panel's total."""
+    by = ["prov_study_id", "demo_type"]
+    cells = suppress(s("panel_profile"), by, "demo_sub_type", "pat_count", s.cfg.mask_floor)
+    return cells.drop("pat_count").withColumnRenamed("shown", "pat_count")
+
+
 @stage("Panel ages")
 def panel_age(s: Study) -> DataFrame:
     """Ages of the patients of each panel, and how many of them are in the patient table."""

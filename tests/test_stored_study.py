@@ -275,6 +275,28 @@ def test_rules_and_their_combinations(spark, rows):
     assert found == expected
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.integers(0, 2), st.lists(st.integers(1, 30), min_size=1, max_size=5), max_size=3))
+def test_hidden_cells_do_not_follow_from_totals(spark, groups):
+    rows = [(g, f"c{k}", n) for g, cells in groups.items() for k, n in enumerate(cells)]
+    cells = O.suppress(spark.createDataFrame(rows, "g int, c string, n int"), ["g"], "c", "n", 10).collect()
+    assert len(cells) == len(rows)
+    for g, values in groups.items():
+        mine = [r for r in cells if r["g"] == g]
+        hidden = [r["n"] for r in mine if r["shown"] is None]
+        assert all(r["shown"] in (None, r["n"]) and (r["n"] >= 10 or r["shown"] is None) for r in mine)
+        assert len({r["total"] for r in mine}) == 1
+        total = mine[0]["total"]
+        assert total in (None, sum(values))
+        if min(values) >= 10:
+            assert not hidden and total == sum(values)
+        elif total is not None:  # what is left for the hidden cells is not one cell, nor a small sum
+            left = total - sum(r["shown"] or 0 for r in mine)
+            assert len(hidden) >= 2 and left == sum(hidden) >= 10
+            if len(hidden) > 2 and max(hidden) >= 10:  # none was hidden that need not be
+                assert sum(hidden) - max(hidden) < 10
+
+
 # --- contracts ----------------------------------------------------------------
 
 
