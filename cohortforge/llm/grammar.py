@@ -1,8 +1,8 @@
 """Token ids in Re-Pair grammar files: compressed per shard, with random access to any token range.
 
 Pairs of adjacent symbols that occur often in a shard are replaced by nonterminals, round after
-round; a round replaces its most frequent pairs at once, the more frequent first where they
-overlap. A shard file holds the rules, the length each expands to, and the symbols of each document.
+round, until no pair does; a round replaces all frequent pairs at once, the more frequent first
+where they overlap. A shard file holds the rules, the length each expands to, and the symbols of each document.
 No rule reaches over the end of a document.
 
 File: `MAGIC`; four little-endian 64-bit counts (documents, rules, symbols, terminals); then
@@ -28,17 +28,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortforge.llm.chunks import ChunkMemory, clean_spaces
-from cohortforge.llm.shared import new_path, staged, text_slices
+from cohortforge.llm.shared import kept_by_worker, new_path, staged, text_slices
 
 MAGIC = b"repair01"
 END = 0  # the id that ends a document
 SHARD = 1_500_000  # tokens after which a shard is closed; a document is never split
 FREQUENT = 64  # occurrences from which a pair is replaced
-PAIRS = 1024  # pairs replaced in a round
-ROUNDS = 4
 TOGETHER = 4000  # words joined for a call of the library
 GATHERED = 50_000  # words whose ids are put together at once
-BINS = 1 << 18
+BINS = 1 << 20
 SLICE = 8 << 20  # bytes of text whose distinct chunks are encoded together
 
 
@@ -135,49 +133,58 @@ def winners(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return good
 
 
+def frequent(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(whether each key occurs `FREQUENT` times, its rank if so, the keys by rank): exact counts.
+
+    Most keys of a large array are rare: a first count by hash bins spares sorting them.
+    """
+    often = np.ones(len(key), bool)
+    if len(key) > BINS // 8:
+        bins = ((key * 0x9E3779B97F4A7C1) >> 40) & (BINS - 1)
+        often = np.bincount(bins, minlength=BINS)[bins] >= FREQUENT
+    found, which, counts = np.unique(key[often], return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")[: int((counts >= FREQUENT).sum())]
+    rank = np.full(len(found), -1, np.int64)
+    rank[order] = np.arange(len(order))
+    rank = rank[which]
+    often[often] = rank >= 0
+    return often, rank[rank >= 0], found[order]
+
+
 def compress(ids: np.ndarray, starts: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, starts of the documents in them, rules) of the ids of a shard.
 
-    Pairs are counted in hash bins; of a bin's pairs one is looked at in a round.
+    Rounds go on until no pair within a document occurs `FREQUENT` times. All pairs are counted
+    once. After that only pairs with a symbol that has just been put in can have become frequent,
+    and of those that were, only occurrences that lost to a neighbour are left: a round looks at
+    these places alone.
     """
-    symbols, rules = ids.astype(np.int64), np.empty((0, 2), np.int64)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        key = (symbols[:-1] << 20) | symbols[1:]
-        bins = ((key * 0x9E3779B97F4A7C1) >> 40) & (BINS - 1)
-        edges = starts[1:-1] - 1
-        bins[edges[(edges >= 0) & (edges < len(key))]] = BINS  # over the end of a document
-        counts = np.bincount(bins, minlength=BINS + 1)
-        counts[BINS] = 0
-        busy = np.flatnonzero(counts >= FREQUENT)
-        busy = busy[np.argsort(-counts[busy], kind="stable")[: 2 * PAIRS]]
-        number = np.full(BINS + 1, -1, np.int64)
-        number[busy] = np.arange(len(busy))
-        which = number[bins]
-        at = np.flatnonzero(which >= 0)
-        which = which[at]
-        pair = np.zeros(len(busy), np.int64)
-        pair[which] = key[at]
-        same = pair[which] == key[at]
-        at, which = at[same], which[same]
-        often = np.bincount(which, minlength=len(busy))
-        order = np.argsort(-often, kind="stable")[:PAIRS]
-        order = order[often[order] >= FREQUENT]
-        if not len(order):
+    symbols, rules = ids.astype(np.uint32), np.empty((0, 2), np.int64)
+    last = np.zeros(len(symbols) + 1, bool)
+    last[starts[1:] - 1] = True
+    at = np.flatnonzero(~last[:-1])
+    while len(at):
+        key = (symbols[at].astype(np.int64) << 24) | symbols[at + 1]
+        often, rank, pairs = frequent(key)
+        if not len(rank):
             break
-        rank = np.full(len(busy), -1, np.int64)
-        rank[order] = np.arange(len(order))
-        rank = rank[which]
-        at, rank = at[rank >= 0], rank[rank >= 0]
+        at = at[often]
         won = winners(at, rank)
-        at, rank = at[won], rank[won]
-        symbols[at] = terminals + len(rules) + rank
+        lost, at, rank = at[~won], at[won], rank[won]
+        used = np.bincount(rank, minlength=len(pairs)) > 0
+        symbols[at] = (terminals + len(rules) + np.cumsum(used) - 1)[rank]
+        rules = np.concatenate([rules, np.stack([pairs[used] >> 24, pairs[used] & 0xFFFFFF], axis=1)])
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        rules = np.concatenate([rules, np.stack([pair[order] >> 20, pair[order] & 0xFFFFF], axis=1)])
-        starts = starts - np.searchsorted(at + 1, starts)
-        symbols = symbols[keep]
+        last[at] = last[at + 1]
+        place = np.cumsum(keep, dtype=np.int32) - 1
+        symbols, last = symbols[keep], np.append(last[:-1][keep], False)
+        starts = np.append(place, np.int32(len(symbols)))[starts]
+        near = place[at]
+        again = np.zeros(len(symbols), bool)
+        again[near] = again[np.maximum(near - 1, 0)] = again[place[lost[keep[lost]]]] = True
+        again &= ~last[:-1]
+        at = np.flatnonzero(again)
     return symbols, starts, rules
 
 
@@ -276,7 +283,8 @@ def _write(batches: Iterable[pa.RecordBatch], path: str, folder: str) -> Iterato
 
     Every attempt writes files of its own; those of a lost one are in no manifest.
     """
-    encoder, part = LibraryEncoder(path), TaskContext.get().partitionId()
+    encoder = kept_by_worker(("encoder", path), lambda: LibraryEncoder(path))
+    part = TaskContext.get().partitionId()
     system, root = fs.FileSystem.from_uri(folder)
     system.create_dir(root, recursive=True)
     docs: list[int | None] = []

@@ -14,10 +14,10 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortforge.llm.shared import text_slices
+from cohortforge.llm.shared import excerpt, text_slices
 
 LENGTH = 256  # bytes of a window; the last one of a text is padded
 WIDTHS = (2, 3, 4)
@@ -27,7 +27,7 @@ BATCH = 64  # windows scored at once; their answers fit a core's cache
 
 FIT_ROWS = 300  # rows a language that the network is fitted on
 FIT_WINDOWS = 4  # windows of each, spread over its text
-FIT_CHARS = 20_000  # longest text fitted on; all texts are scored whole
+FIT_CHARS = 20_000  # of a text, at most, are fitted on; all texts are scored whole
 ROUNDS, STEP = 12, 0.01
 
 PAD = 256
@@ -164,13 +164,17 @@ def train(texts: list[tuple[bytes, int]], languages: list[str], rounds: int = RO
 def fit(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> LanguageModel | None:
     """Fit on rows with a language whose crc32(doc_id as text) mod 3 is not 1, `rows` a language.
 
-    Rows are taken in hash order of doc_id among texts with a letter and at most `chars`
-    characters. None where there is no such row.
+    Rows are taken in hash order of doc_id among texts with a letter; of a doc_id that repeats, the
+    text of the least hash. Every lang that has such a row can be predicted. Of texts of over `chars`
+    characters, excerpts from the whole text are fitted. None where there is no such row.
+
+    The rows wanted come to the driver in one job: at most `rows` a language, of `chars` characters.
     """
     usable = docs.where("lang is not null and doc_id is not null")
     usable = usable.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
-    usable = usable.where(F.col("text").rlike(LETTERS) & (F.length("text") <= chars))
-    counted = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    usable = usable.where(F.col("text").rlike(LETTERS)).select("doc_id", "lang", "text")
+    ids = F.approx_count_distinct("doc_id").alias("ids")
+    counted = {r["lang"]: max(1, r["ids"]) for r in usable.groupBy("lang").agg(ids).collect()}
     if not counted:
         return None
     languages = sorted(counted)
@@ -178,16 +182,14 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> Langua
     share = F.create_map(*(F.lit(x) for lang, n in counted.items() for x in (lang, min(1.0, 2 * rows / n))))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(1 << 20)
     near = usable.where(place < share[F.col("lang")])
-    ids = near.select("lang", F.xxhash64("doc_id").alias("h"), "doc_id").collect()
-    chosen: dict[str, list[tuple[int, int]]] = {lang: [] for lang in languages}
-    for row in ids:
-        chosen[row["lang"]].append((row["h"], row["doc_id"]))
-    wanted = {i: lang for lang, found in chosen.items() for _, i in sorted(set(found))[:rows]}
-    texts = usable.where(F.col("doc_id").isin(list(wanted))).select("doc_id", "lang", "text")
-    found = {r["doc_id"]: (r["text"].encode(), languages.index(r["lang"])) for r in texts.toLocalIterator()}
+    part = F.struct("lang", excerpt("text", chars).alias("text"))
+    single = near.groupBy("doc_id").agg(F.min_by(part, F.struct(F.xxhash64("text"), "lang")).alias("row"))
+    in_order = Window.partitionBy("row.lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = single.withColumn("k", F.row_number().over(in_order)).where(F.col("k") <= rows)
+    found = sorted((r["doc_id"], r["row"]) for r in chosen.select("doc_id", "row").collect())
     if len(languages) == 1:
         return fresh(languages)
-    return train([found[i] for i in sorted(found)], languages)
+    return train([(row["text"].encode(), languages.index(row["lang"])) for _, row in found], languages)
 
 
 def _predict(batches: Iterable[pa.RecordBatch], model: LanguageModel | None, text: int) -> Iterator[pa.RecordBatch]:

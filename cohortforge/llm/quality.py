@@ -22,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.llm.shared import text_slices
+from cohortforge.llm.shared import excerpt, text_slices
 
 FIT_ROWS = 2000  # labelled rows a class that the model is fitted on
-FIT_CHARS = 20_000  # longest text fitted on; all texts are scored whole
+FIT_CHARS = 20_000  # of a text, at most, are fitted on; all texts are scored whole
+LONGEST_WORD = 64  # characters; a longer run without white space is cut into such words
 WORDS, SHAPES, DIMENSIONS, WINDOW, HIDDEN = 2000, 512, 64, 2, 32
 THRESHOLD = 0.7
 REMEMBERED = 200_000
@@ -42,7 +43,7 @@ def shape(word: str) -> str:
         run = found.group()
         return "a" if run.islower() else "A" if run.isupper() and len(run) > 1 else "Aa"
 
-    return RUNS.sub(r"\1\1", DIGITS.sub("9", LETTERS.sub(letters, word[:64])))
+    return RUNS.sub(r"\1\1", DIGITS.sub("9", LETTERS.sub(letters, word)))
 
 
 class Terms(dict):
@@ -64,6 +65,8 @@ class Terms(dict):
     def of(self, text: str | None) -> np.ndarray:
         """The terms of a whole text, in order."""
         words = (text or "").split()
+        if max(map(len, words), default=0) > LONGEST_WORD:
+            words = [w[k : k + LONGEST_WORD] for w in words for k in range(0, len(w), LONGEST_WORD)]
         terms = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
         again = np.fromiter(map(eq, words, islice(words, 1, None)), bool, max(0, len(words) - 1))
         terms[1:] += np.where(again, WORDS + SHAPES, 0).astype(np.int32)
@@ -168,7 +171,11 @@ def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int) -> tuple[list[tuple[str, int]], list[int]]:
-    """At most `rows` labelled texts a class, by hash order of doc_id, and how many rows each class has."""
+    """At most `rows` labelled texts a class, by hash order of doc_id, and how many rows each class has.
+
+    Of a doc_id that repeats, the text of the least hash; of a text of over `chars` characters,
+    excerpts from all of it.
+    """
     usable = labels.where("quality in (0, 1) and doc_id is not null")
     usable = usable.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -177,9 +184,10 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int) -> tuple[l
     for quality in (0, 1):
         of_class = usable.where(F.col("quality") == quality).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         chosen.update((r["doc_id"], quality) for r in of_class.select("doc_id").collect())
-    texts = docs.where(F.col("doc_id").isin(list(chosen))).where(F.length("text") <= chars)
-    # at most 2 * rows texts of at most `chars` characters
-    found = {r["doc_id"]: r["text"] for r in texts.select("doc_id", "text").toLocalIterator()}
+    texts = docs.where(F.col("doc_id").isin(list(chosen))).where("text is not null").select("doc_id", "text")
+    single = texts.groupBy("doc_id").agg(F.min_by(excerpt("text", chars), F.xxhash64("text")).alias("text"))
+    # in one job: at most 2 * rows texts of at most `chars` characters
+    found = {r["doc_id"]: r["text"] for r in single.collect()}
     return [(found[i], chosen[i]) for i in sorted(found)], [counted.get(0, 0), counted.get(1, 0)]
 
 
@@ -195,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, chars: int = F
     share = counts[1] / sum(counts) if sum(counts) else 1.0
     if len(set(y.tolist())) < 2:
         return QualityModel(share, [])
-    words = Counter(w for text, _ in texts for w in text.split())
+    words = Counter(w for text, _ in texts for w in text.split() if len(w) <= LONGEST_WORD)
     vocabulary = [w for w, n in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:WORDS] if n > 1]
     numbers = Terms(vocabulary)
     terms = [numbers.of(text) for text, _ in texts]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,6 +36,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def excerpt(text: str, chars: int, parts: int = 8) -> Column:
+    """The text, or of one of over `chars` characters as many from `parts` places spread over all of it."""
+    size = chars // parts
+    room = F.length(text) - size
+    cuts = [F.substr(F.col(text), F.floor(room * k / (parts - 1)).cast("int") + 1, F.lit(size)) for k in range(parts)]
+    return F.when(F.length(text) > chars, F.concat_ws(" ", *cuts)).otherwise(F.col(text))
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole groups from batches sorted by the integer column `key`.
 
@@ -74,6 +84,17 @@ def text_slices(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[i
         start, base = stop, int(ends[stop - 1])
 
 
+def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task; made anew in another worker.
+
+    Functions reach workers by value, each time with modules of their own; this is kept beside them.
+    """
+    held = vars(sys.modules.setdefault("_llm_kept_by_worker", ModuleType("_llm_kept_by_worker")))
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 BITS = 1 << 22
 
 

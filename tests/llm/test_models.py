@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortforge.llm import language, quality
+from cohortforge.llm.shared import excerpt
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -89,6 +91,85 @@ def test_language_edges(edges, nothing, frame):
     assert found == {k: "und" if k in (3, 4) else "xx" for k in range(12)}
 
 
+def words(k, stems):
+    random.seed(k)
+    return " ".join(random.choice(stems) for _ in range(40))
+
+
+def test_a_language_of_long_texts_only_is_learnt(spark, frame):
+    """Each text of one language is longer than what is fitted of a text; ids repeat, too."""
+    german, english = ["und", "nicht", "schön", "Straße"], ["and", "not", "nice", "street"]
+    rows = [(k, words(k, german) * 200 if k % 2 else words(k, english)) for k in range(240)]
+    rows += [(1, rows[1][1] + " x")] * 150
+    lang = F.when(F.col("doc_id") % 2 == 1, "de").otherwise("en")
+    docs = frame(rows).withColumn("lang", lang)
+    assert docs.where("lang = 'de' and length(text) <= 20000").count() == 0
+    found = language.identify(docs).collect()
+    assert len(found) == len(rows)
+    assert all(r["lang_pred"] == ("de" if r["doc_id"] % 2 else "en") for r in found if r["held_out"])
+
+
+def test_excerpts_come_from_the_whole_text(spark):
+    df = spark.createDataFrame([("ab" * 10,), ("x" * 50 + "y" * 50 + "z" * 50,), (None,)], "text string")
+    out = [r[0] for r in df.select(excerpt("text", 24, 3)).collect()]
+    assert out == ["ab" * 10, "x" * 8 + " " + "y" * 8 + " " + "z" * 8, None]
+
+
+def plain_language(model, text):
+    """The network's answer for a text, by loops over windows, widths, filters and places."""
+    logs = []
+    for at in range(0, max(1, len(text)), language.LENGTH):
+        window = list(text[at : at + language.LENGTH])
+        window += [language.PAD] * (language.LENGTH - len(window))
+        pooled = []
+        for width, filters, biases in zip(language.WIDTHS, model.filters, model.biases):
+            for f in range(language.FILTERS):
+                best = max(
+                    sum(
+                        float(model.embedding[window[p + j]] @ filters[j * language.EMBEDDING : (j + 1) * language.EMBEDDING, f])
+                        for j in range(width)
+                    )
+                    for p in range(language.LENGTH - width + 1)
+                )
+                pooled.append(max(0.0, best + float(biases[f])))
+        z = np.array(pooled) @ model.dense + model.offset
+        logs.append(z - np.log(np.exp(z - z.max()).sum()) - z.max())
+    odds = np.exp(np.mean(logs, axis=0))
+    return model.languages[int(odds.argmax())], float(odds.max() / odds.sum())
+
+
+def test_language_against_plain_loops(frame):
+    model = language.fresh(["x", "y", "z"], seed=7)
+    texts = ["short é", "long " * 60]
+    found = {r["doc_id"]: r for r in language.predict(frame(list(enumerate(texts))), model).collect()}
+    for k, text in enumerate(texts):
+        name, score = plain_language(model, text.encode())
+        assert found[k]["lang_pred"] == name and abs(found[k]["score"] - score) < 1e-4
+
+
+def test_quality_against_plain_sums(spark, frame):
+    """The score of a text is that of its words' mean vector, through both layers and the temperature."""
+    rows = [(k, ("fine words in a row " if k % 2 else "bad!! bad!! 123 ") * (1 + k % 9)) for k in range(160)]
+    docs, marks = frame(rows), spark.createDataFrame([(k, k % 2, 0) for k in range(160)], LABELS)
+    model = quality.fit(docs, marks)
+    found = {r["doc_id"]: r["score"] for r in quality.score(docs.select("doc_id", "text"), model).collect()}
+    w1, b1, w2, b2 = model.layers
+    numbers = quality.Terms(model.vocabulary)
+    for doc, text in rows[:40]:
+        before, total = None, np.zeros(quality.DIMENSIONS)
+        for word in text.split():
+            repeated = (quality.WORDS + quality.SHAPES) * (word == before)
+            total, before = total + model.vectors[numbers[word] + repeated], word
+        x = (total / len(text.split()) - model.scale[0]) / model.scale[1]
+        z = sum(np.tanh(x @ w1[:, h] + b1[h]) * w2[h] for h in range(quality.HIDDEN)) + b2
+        assert abs(found[doc] - 1 / (1 + np.exp(-z / model.temperature))) < 1e-4
+
+
+def test_text_without_spaces_is_judged_whole():
+    terms = quality.Terms([]).of("a" * 64 + "7" * 64 + "!" * 10)
+    assert len(terms) == 3 and len(set(terms.tolist())) == 3
+
+
 def test_windows_cover_the_whole_text():
     parts, starts = language.windows([b"", b"a" * 256, b"b" * 257])
     assert starts.tolist() == [0, 1, 2, 4] and parts.shape == (4, 256)

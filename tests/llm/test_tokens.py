@@ -2,6 +2,8 @@ import io
 import random
 import zlib
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -128,6 +130,49 @@ def test_grammar_random_access():
     assert len(shard.symbols) < sum(map(len, docs)) or sum(map(len, docs)) < 500
 
 
+def pairs_within(symbols, starts):
+    """Occurrences of each pair within documents."""
+    ends = set(starts[1:].tolist())
+    return Counter((a, b) for k, (a, b) in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist())) if k + 1 not in ends)
+
+
+def plain_repair(docs, terminals, least):
+    """Re-Pair one pair at a time, all counts anew each time; the symbols and rules left."""
+    docs, rules = [list(d) for d in docs], 0
+    while True:
+        counts = Counter(p for d in docs for p in zip(d, d[1:]))
+        pair, n = max(counts.items(), key=lambda x: x[1], default=(None, 0))
+        if n < least:
+            return sum(map(len, docs)), rules
+        new, rules = terminals + rules, rules + 1
+        for d in docs:
+            k = 0
+            while k + 1 < len(d):
+                if (d[k], d[k + 1]) == pair:
+                    d[k : k + 2] = [new]
+                k += 1
+
+
+def test_grammar_goes_on_until_no_pair_is_frequent(monkeypatch):
+    """Nearly as small as Re-Pair that takes one pair at a time, and no frequent pair is left."""
+    random.seed(4)
+    monkeypatch.setattr(grammar, "BINS", 64)  # many pairs share a bin
+    monkeypatch.setattr(grammar, "FREQUENT", 8)
+    phrases = [[random.randrange(40) for _ in range(random.randint(2, 30))] for _ in range(25)]
+    docs = [[t for _ in range(random.randint(0, 30)) for t in random.choice(phrases)] + [0] for _ in range(60)]
+    ids = np.array(sum(docs, []), np.uint32)
+    starts = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    symbols, at, rules = grammar.compress(ids, starts, 50)
+    assert max(pairs_within(symbols, at).values()) < 8
+    left, plain_rules = plain_repair(docs, 50, 8)
+    assert len(symbols) + 2 * len(rules) <= 1.1 * (left + 2 * plain_rules)
+    assert grammar.lengths_of(rules, 50).max() > 16
+    file = io.BytesIO()
+    grammar.write_shard(file, list(range(len(docs))), [np.array(d, np.uint32) for d in docs], 50)
+    shard = grammar.Shard(file.getvalue())
+    assert [shard.document(k).tolist() for k in range(len(docs))] == docs
+
+
 def test_grammar_compresses_repeats():
     ids = np.array([5, 6, 7, 8] * 5000, np.uint32)
     symbols, starts, rules = grammar.compress(ids, np.array([0, len(ids)]), 50)
