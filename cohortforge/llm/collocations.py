@@ -83,16 +83,24 @@ def only_frequent(rows: DataFrame, ids: list[str], frequent: DataFrame) -> DataF
     return rows.withColumn("_key", key(*ids)).join(kept, "_key", "left_semi").drop("_key")
 
 
+# joins take relations bucketed by `deal` as they lie though it is one of several keys, and sorted
+# as they are written, where each bucket is one file
+AS_THEY_LIE = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+}
+
+
 @contextmanager
 def co_partitioned(spark: SparkSession) -> Iterator[None]:
-    """Joins take relations bucketed by `deal` as they lie when `deal` is one of several keys."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    before = {name: spark.conf.get(name) for name in AS_THEY_LIE}
+    for name, value in AS_THEY_LIE.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 class Relations:
@@ -168,21 +176,23 @@ def frequent_groups(docs: DataFrame, least: int, longest: int) -> tuple[DataFram
     return known, groups
 
 
-def cuts(groups: dict[int, DataFrame], size: int) -> DataFrame:
-    """(w1 .., a, l, r): for each candidate of `size` words its lowest-scoring cut."""
+def cuts(groups: dict[int, DataFrame], words_: DataFrame, size: int) -> DataFrame:
+    """(lang, w1 .., a, l, r, score): for each candidate of `size` words its lowest-scoring cut."""
     ids = [f"w{k + 1}" for k in range(size)]
     rows = groups[size].withColumnRenamed("f", "a")
     for k in range(1, size):
-        for name, own, part in ((f"l{k}", ids[:k], groups[k]), (f"r{k}", ids[k:], groups[size - k])):
+        for name, own in ((f"l{k}", ids[:k]), (f"r{k}", ids[k:])):
+            part = words_ if len(own) == 1 else groups[len(own)]
             renamed = [F.col(f"w{i + 1}").alias(w) for i, w in enumerate(own)]
-            rows = rows.join(part.select(*renamed, F.col("f").alias(name)), own)
+            lang = ["lang"] if own == ids[:1] else []
+            rows = rows.join(part.select(*renamed, F.col("f").alias(name), *lang), own)
     whole = "decimal(19,0)"  # products have up to 38 digits
     scored = []
     for k in range(1, size):
         score = F.expr(f"(cast(a as {whole}) * a * 1000000) div (cast(l{k} as {whole}) * r{k})")
         scored.append(F.struct(score.alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")))
     best = F.array_min(F.array(*scored))
-    return rows.select(*ids, "a", best["l"].alias("l"), best["r"].alias("r"), best["score"].alias("score"))
+    return rows.select("lang", *ids, "a", best["l"].alias("l"), best["r"].alias("r"), best["score"].alias("score"))
 
 
 def within(longer: DataFrame, size: int, inner: int) -> DataFrame:
@@ -195,34 +205,44 @@ def within(longer: DataFrame, size: int, inner: int) -> DataFrame:
     return inside.groupBy(*(f"w{k + 1}" for k in range(inner))).agg(F.max("f").alias("most"))
 
 
-def phrases(known: DataFrame, groups: dict[int, DataFrame], share: int) -> DataFrame:
-    """(lang, phrase, a, l, r, score) of every candidate that no longer one covers."""
-    names = known.select(F.col("word").alias("id"), "lang", "text")
+def candidates(groups: dict[int, DataFrame], words_: DataFrame, share: int) -> DataFrame:
+    """(lang, ids, a, l, r, score) of every candidate that no longer one covers."""
     out = None
     for size in range(2, max(groups) + 1):
-        rows = cuts(groups, size)
         ids = [f"w{k + 1}" for k in range(size)]
+        rows = groups[size]
         for longer in range(size + 1, max(groups) + 1):
             covered = within(groups[longer], longer, size)
             rows = rows.join(covered, ids, "left").where(
-                f"most is null or cast(most as decimal(20,0)) * 100 < cast(a as decimal(20,0)) * {share}"
+                f"most is null or cast(most as decimal(20,0)) * 100 < cast(f as decimal(20,0)) * {share}"
             ).drop("most")
-        for w in ids:
-            own = names.select(F.col("id").alias(w), F.col("text").alias(f"{w}_text"), *(["lang"] if w == "w1" else []))
-            rows = rows.join(own, w)
-        phrase = F.concat_ws(" ", *(f"{w}_text" for w in ids))
-        rows = rows.select("lang", phrase.alias("phrase"), "a", "l", "r", "score")
+        rows = cuts({**groups, size: rows}, words_, size)
+        rows = rows.select("lang", F.array(*ids).alias("ids"), "a", "l", "r", "score")
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-def first_of_each(rows: DataFrame, top: int) -> DataFrame:
-    """The first `top` phrases of each language, ranked in salted parts before the whole."""
-    order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
-    part = Window.partitionBy("lang", "_salt").orderBy(*order)
-    some = salted.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top).drop("rank", "_salt")
-    return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+def leading(rows: DataFrame, top: int) -> DataFrame:
+    """Rows that can be among the first `top` of their language: by score and count, ties all kept.
+
+    Ranked in salted parts before the whole.
+    """
+    order = (F.desc("score"), F.desc("a"))
+    for by in (["lang", "_salt"], ["lang"]):
+        place = F.rank().over(Window.partitionBy(*by).orderBy(*order))
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("ids"), F.lit(SALTS))).withColumn("_place", place)
+        rows = rows.where(F.col("_place") <= top).drop("_salt", "_place")
+    return rows
+
+
+def spelt(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """`rows` with `phrase`, their words joined; only the words of these rows are looked up."""
+    each = rows.select("ids", F.posexplode("ids").alias("k", "word"))
+    texts = each.join(known.select("word", "text"), "word").groupBy("ids").agg(
+        F.sort_array(F.collect_list(F.struct("k", "text"))).alias("words")  # two or three a phrase
+    )
+    phrase = F.array_join(F.transform("words", lambda w: w["text"]), " ").alias("phrase")
+    return rows.join(texts.select("ids", phrase), "ids").drop("ids")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: int = TOP, longest: int = LONGEST) -> DataFrame:
@@ -234,5 +254,8 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: i
     """
     known, groups = frequent_groups(docs.select("lang", "text"), least, longest)
     totals = known.groupBy("lang").agg(F.sum("f").alias("n"))
-    best = first_of_each(phrases(known, groups, share), top)
-    return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    words_ = known.where(F.col("f") >= least).select(F.col("word").alias("w1"), "lang", "f")
+    best = spelt(staged(leading(candidates(groups, words_, share), top), "leading"), known)
+    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -36,7 +36,7 @@ SHARD = 1_500_000  # tokens after which a shard is closed; a document is never s
 FREQUENT = 64  # occurrences from which a pair is replaced
 TOGETHER = 4000  # words joined for a call of the library
 GATHERED = 50_000  # words whose ids are put together at once
-BINS = 1 << 20
+BINS = 20  # bits of the hash bins that pairs are counted in, at most
 SLICE = 8 << 20  # bytes of text whose distinct chunks are encoded together
 
 
@@ -71,7 +71,7 @@ class LibraryEncoder:
         for at in range(0, len(words), TOGETHER):
             part = words[at : at + TOGETHER]
             ids = self.whole([" " + " ".join(part)])[0]
-            sizes = np.fromiter((len(w.encode()) for w in part), np.int64, len(part))
+            sizes = pc.binary_length(pa.array(part, pa.string())).to_numpy().astype(np.int64)
             places = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes + 1)) + 1
             data, ends = ids.tobytes(), (4 * places).tolist()
             out += [data[a:b] for a, b in zip([0, *ends], ends)]
@@ -116,16 +116,16 @@ class LibraryEncoder:
             low = high
 
 
-def winners(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Of the pairs at ascending places, those replaced: no two overlap, lower ranks first.
+def winners(close: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Of pairs in order, those replaced: no two overlap, lower ranks first.
 
-    In a run of one pair, as in aaaa, every other one.
+    `close` says of each but the last whether the next begins with its second symbol. In a run of
+    one pair, as in aaaa, every other one is replaced.
     """
     none = np.iinfo(np.int64).max
-    close = at[1:] == at[:-1] + 1
     before = np.concatenate([[none], np.where(close, rank[:-1], none)])
     after = np.concatenate([np.where(close, rank[1:], none), [none]])
-    place = np.arange(len(at))
+    place = np.arange(len(rank))
     run_start = np.maximum.accumulate(np.where(rank == before, 0, place))
     good = ((place - run_start) % 2 == 0) & (rank <= before) & (rank <= after)
     # the start of a run of a better pair may touch the end of a run just chosen
@@ -134,21 +134,33 @@ def winners(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
 
 
 def frequent(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(whether each key occurs `FREQUENT` times, its rank if so, the keys by rank): exact counts.
+    """(places whose key occurs `FREQUENT` times, the rank of each, the keys by rank): exact counts.
 
-    Most keys of a large array are rare: a first count by hash bins spares sorting them.
+    Keys are counted by hash bin; only keys that share a bin with another one are sorted.
     """
-    often = np.ones(len(key), bool)
-    if len(key) > BINS // 8:
-        bins = ((key * 0x9E3779B97F4A7C1) >> 40) & (BINS - 1)
-        often = np.bincount(bins, minlength=BINS)[bins] >= FREQUENT
-    found, which, counts = np.unique(key[often], return_inverse=True, return_counts=True)
+    bits = min(BINS, max(6, len(key).bit_length()))
+    bins = (key * 0x9E3779B97F4A7C1) >> (60 - bits) & ((1 << bits) - 1)
+    at = np.flatnonzero(np.bincount(bins, minlength=1 << bits)[bins] >= FREQUENT)
+    key, bins = key[at], bins[at]
+    first = np.zeros(1 << bits, np.int64)
+    first[bins] = key  # of a bin's keys one stands for it
+    mixed = np.zeros(1 << bits, bool)
+    mixed[bins[first[bins] != key]] = True
+    # numbers of keys: bins of one key, then the keys of the others
+    number = np.cumsum(np.bincount(bins, minlength=1 << bits) > 0) - 1
+    which, keys = number[bins], np.zeros(int(number[-1]) + 1, np.int64)
+    keys[which] = key
+    shared = np.flatnonzero(mixed[bins])
+    if len(shared):
+        others, inverse = np.unique(key[shared], return_inverse=True)
+        which[shared] = len(keys) + inverse
+        keys = np.concatenate([keys, others])
+    counts = np.bincount(which, minlength=len(keys))
     order = np.argsort(-counts, kind="stable")[: int((counts >= FREQUENT).sum())]
-    rank = np.full(len(found), -1, np.int64)
+    rank = np.full(len(keys), -1, np.int64)
     rank[order] = np.arange(len(order))
     rank = rank[which]
-    often[often] = rank >= 0
-    return often, rank[rank >= 0], found[order]
+    return at[rank >= 0], rank[rank >= 0], keys[order]
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,35 +169,35 @@ def compress(ids: np.ndarray, starts: np.ndarray, terminals: int) -> tuple[np.nd
     Rounds go on until no pair within a document occurs `FREQUENT` times. All pairs are counted
     once. After that only pairs with a symbol that has just been put in can have become frequent,
     and of those that were, only occurrences that lost to a neighbour are left: a round looks at
-    these places alone.
+    these places alone. What is replaced stays in place; each symbol knows its neighbours.
     """
-    symbols, rules = ids.astype(np.uint32), np.empty((0, 2), np.int64)
-    last = np.zeros(len(symbols) + 1, bool)
+    symbols, rules, size = ids.astype(np.uint32), [np.empty((0, 2), np.int64)], len(ids)
+    after, before = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size - 1, dtype=np.int32)
+    last, alive = np.zeros(size, bool), np.ones(size, bool)
     last[starts[1:] - 1] = True
-    at = np.flatnonzero(~last[:-1])
+    at, made = np.flatnonzero(~last), 0
     while len(at):
-        key = (symbols[at].astype(np.int64) << 24) | symbols[at + 1]
-        often, rank, pairs = frequent(key)
-        if not len(rank):
+        right = after[at]
+        often, rank, pairs = frequent((symbols[at].astype(np.int64) << 24) | symbols[right])
+        if not len(often):
             break
-        at = at[often]
-        won = winners(at, rank)
-        lost, at, rank = at[~won], at[won], rank[won]
+        at, right = at[often], right[often]
+        won = winners(right[:-1] == at[1:], rank)
+        lost, at, right, rank = at[~won], at[won], right[won], rank[won]
         used = np.bincount(rank, minlength=len(pairs)) > 0
-        symbols[at] = (terminals + len(rules) + np.cumsum(used) - 1)[rank]
-        rules = np.concatenate([rules, np.stack([pairs[used] >> 24, pairs[used] & 0xFFFFFF], axis=1)])
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        last[at] = last[at + 1]
-        place = np.cumsum(keep, dtype=np.int32) - 1
-        symbols, last = symbols[keep], np.append(last[:-1][keep], False)
-        starts = np.append(place, np.int32(len(symbols)))[starts]
-        near = place[at]
-        again = np.zeros(len(symbols), bool)
-        again[near] = again[np.maximum(near - 1, 0)] = again[place[lost[keep[lost]]]] = True
-        again &= ~last[:-1]
-        at = np.flatnonzero(again)
-    return symbols, starts, rules
+        symbols[at] = (terminals + made + np.cumsum(used) - 1)[rank]
+        rules.append(np.stack([pairs[used] >> 24, pairs[used] & 0xFFFFFF], axis=1))
+        made += len(rules[-1])
+        alive[right], last[at] = False, last[right]
+        following = after[right]
+        after[at] = following
+        inner = following < size
+        before[following[inner]] = at[inner]
+        again = np.zeros(size, bool)
+        again[at] = again[np.maximum(before[at], 0)] = again[lost[alive[lost]]] = True
+        at = np.flatnonzero(again & alive & ~last)
+    place = np.cumsum(alive) - 1
+    return symbols[alive], np.append(place, alive.sum())[starts], np.concatenate(rules)
 
 
 def lengths_of(rules: np.ndarray, terminals: int) -> np.ndarray:

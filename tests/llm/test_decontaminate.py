@@ -78,6 +78,56 @@ def test_runs_of_three_words_between_edits_are_found(spark, frame):
         assert found[k + 1, k + 1] == pytest.approx(brute_align(items[k], edited[k]) / 32) and found[k + 1, k + 1] >= 0.6
 
 
+def test_all_edits_within_the_least_score_are_found(spark, frame):
+    """Every third word replaced or dropped, a word after each, in a text whose pairs occur elsewhere too."""
+    item = [f"w{k}" for k in range(30)]
+    edits = {
+        1: ["x" if k % 3 == 2 else w for k, w in enumerate(item)],
+        2: [w for k, w in enumerate(item) if k % 3 != 2],
+        3: [x for w in item for x in (w, "y")],
+        4: item[:13],
+    }
+    rows = [(k, " ".join(["z"] * 9 + words + ["z"] * 9)) for k, words in edits.items()]
+    rows += [(100 + k, " ".join([item[k], item[k + 1], "z", item[k], "z", item[k + 2]])) for k in range(28) for _ in range(1 + k % 5)]
+    found = {r["doc_id"]: r["score"] for r in d.contaminated(frame(rows), spark.createDataFrame([(1, " ".join(item))], ITEMS)).collect()}
+    expected = {k: brute_align(item, words) / 60 for k, words in edits.items()}
+    assert min(expected.values()) >= d.ALIGNED and found == pytest.approx(expected)
+
+
+def test_texts_of_one_item_and_short_items(spark, frame):
+    docs = frame([(1, "so the quick brown fox jumps"), (2, "a lazy dog sleeps all day long"), (3, "one hello World"), (4, "hello there world"), (5, "yes")])
+    items = [(1, "the quick brown fox jumps"), (1, "lazy dog sleeps all day long"), (2, "Hello, world!"), (3, "yes"), (4, "!!")]
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in d.contaminated(docs, spark.createDataFrame(items, ITEMS)).collect()}
+    assert found == {(1, 1): 1.0, (2, 1): 1.0, (3, 2): 1.0, (5, 3): 1.0}
+
+
+def test_against_every_alignment_of_the_table(spark, sf_dir):
+    """Brute force: each document aligned with each item, without seeds or regions."""
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    texts, wanted = ([tuple(r) for r in df.collect()] for df in (docs.select("doc_id", "text"), items.select("item_id", "text")))
+    hashes, starts = d.word_hashes([t for _, t in texts], marks=False)
+    item_hashes, item_starts = d.word_hashes([t for _, t in wanted], marks=False)
+    expected = {}
+    for k, (doc, _) in enumerate(texts):
+        words = hashes[starts[k] : starts[k + 1]]
+        for j, (name, _) in enumerate(wanted):
+            item = item_hashes[item_starts[j] : item_starts[j + 1]]
+            if d.reachable(item, words) >= d.ALIGNED * d.MATCH * len(item):
+                score = d.align(item, words)[0] / (d.MATCH * len(item))
+                if score >= d.ALIGNED:
+                    expected[doc, name] = max(score, expected.get((doc, name), 0))
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in d.contaminated(docs, items).collect()}
+    assert expected and found == expected
+
+
+def test_rare_seeds_are_chosen(spark):
+    """Of ten words, with 0.4 of the score, the three commonest beginnings are left out."""
+    rows = [(1, at * 10, at, 10) for at in range(9)]
+    seeds = spark.createDataFrame(rows, "key long, gram long, at int, words int")
+    counts = spark.createDataFrame([(at * 10, 100 - at) for at in range(8)], "gram long, n long")
+    assert sorted(r["at"] for r in d.chosen_seeds(seeds, counts, 0.4).collect()) == [2, 3, 4, 5, 6, 7, 8]
+
+
 def test_bound_of_the_alignment():
     rng = random.Random(2)
     for _ in range(300):
@@ -97,7 +147,7 @@ def test_whole_table_against_search(spark, sf_dir):
 
 def test_edges(spark, edges, nothing):
     none = spark.createDataFrame([], ITEMS)
-    odd = spark.createDataFrame([(None, "one two three four five"), (1, None), (2, ""), (3, "a b")], ITEMS)
+    odd = spark.createDataFrame([(None, "one two three four five"), (1, None), (2, ""), (3, "a b"), (4, ".,")], ITEMS)
     assert d.contaminated(edges, none).collect() == []
     assert d.contaminated(edges, odd).collect() == []
     item = spark.createDataFrame([(9, "ONE two three four five"), (9, "ONE two three four five")], ITEMS)
