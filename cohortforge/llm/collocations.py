@@ -129,20 +129,21 @@ class Relations:
 
 
 def single_words(found: DataFrame, seed: int, relations: Relations) -> DataFrame:
-    """Each place of a word in a distinct piece."""
+    """Each place of a word in a distinct piece of several words."""
     deal = F.pmod(F.xxhash64("lang", "piece"), F.lit(relations.buckets * DEALS)).cast("int")
     # sorted while they are pieces, so that the words come in the order they are written in
-    dealt = found.withColumn("deal", deal).repartition(relations.buckets, "deal").sortWithinPartitions("deal")
+    several = found.where((F.instr("piece", " ") > 0) | (F.instr("piece", "\t") > 0))
+    dealt = several.withColumn("deal", deal).repartition(relations.buckets, "deal").sortWithinPartitions("deal")
     # numbers the pieces of a task, which has all of a deal; set before the words are listed
     dealt = dealt.withColumn("id", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
     each = dealt.select("deal", "id", "lang", "copies", F.posexplode(words("piece")).alias("pos", "text"))
     return each.select("deal", F.col("id").alias("piece"), "pos", word_id("lang", "text", seed).alias("w1"), "copies")
 
 
-def extend(longer: DataFrame, size: int, single: DataFrame) -> DataFrame:
-    """Occurrences of `size` words made one longer by the word at the next position."""
-    following = single.select("deal", "piece", (F.col("pos") - size).alias("pos"), F.col("w1").alias(f"w{size + 1}"))
-    return longer.hint("merge").join(following, ["deal", "piece", "pos"])
+def extend(rows: DataFrame, size: int) -> DataFrame:
+    """Occurrences of `size` words made one longer: those at the next position end with the new word."""
+    following = rows.select("deal", "piece", (F.col("pos") - 1).alias("pos"), F.col(f"w{size}").alias(f"w{size + 1}"))
+    return rows.hint("merge").join(following, ["deal", "piece", "pos"])
 
 
 def count_groups(rows: DataFrame, size: int, least: int) -> DataFrame:
@@ -161,16 +162,12 @@ def frequent_groups(docs: DataFrame, least: int, longest: int) -> tuple[DataFram
     relations = Relations(spark)
     try:
         with co_partitioned(spark):
-            rows = single_words(found, seed, relations)
-            single = longer = relations.write(only_frequent(rows, ["w1"], groups[1]))
+            rows = only_frequent(single_words(found, seed, relations), ["w1"], groups[1])
             for size in range(1, longest):
-                grown = extend(longer, size, single)
-                if size > 1:  # the last `size` words must be frequent too
-                    grown = only_frequent(grown, [f"w{k + 2}" for k in range(size)], groups[size])
+                rows = relations.write(rows)
+                grown = extend(rows, size)
                 groups[size + 1] = count_groups(grown, size + 1, least)
-                if size + 1 < longest:
-                    ids = [f"w{k + 1}" for k in range(size + 1)]
-                    longer = relations.write(only_frequent(grown, ids, groups[size + 1]))
+                rows = only_frequent(grown, [f"w{k + 1}" for k in range(size + 1)], groups[size + 1])
     finally:
         relations.drop()
     return known, groups

@@ -94,7 +94,7 @@ def test_joins_take_relations_as_they_lie(spark):
     rows = spark.range(200).selectExpr("cast(id % 16 as int) as deal", "id div 10 as piece", "cast(id % 10 as int) as pos", "id % 7 as w1", "1L as copies")
     with collocations.co_partitioned(spark):
         single = relations.write(rows)
-        grown = collocations.extend(single, 1, single)
+        grown = collocations.extend(single, 1)
         plan = grown._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "SortMergeJoin" in plan
         expected = sum(r["id"] % 10 < 9 and r["id"] + 1 < 200 and (r["id"] + 1) % 16 == r["id"] % 16 for r in spark.range(200).collect())
