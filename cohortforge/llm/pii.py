@@ -78,7 +78,7 @@ def base_spans(text: str | None) -> list[Span]:
     return out
 
 
-TOKEN = re.compile(r"""[^\s"'<>()\[\]{},;]+""")
+TOKEN = re.compile(r"""[^\s"'<>()\[\]{},;|]+""")
 NUMBER = re.compile(r"[0-9]+")
 LEAST = 6  # characters of a candidate that only its digits make one
 SEEN = 48  # characters of context before a candidate
@@ -165,7 +165,6 @@ SIGNATURES = VOTES << len(FEATURES)  # 746 496: bounds what is counted and sent
 
 def signature(token: str, before: str) -> int:
     """The votes of all labelers and the features, as one number below `SIGNATURES`."""
-    token = token[:256]
     votes = 0
     for label in LABELERS:
         votes = 3 * votes + label(token, before)
@@ -175,20 +174,20 @@ def signature(token: str, before: str) -> int:
 
 
 def numbered(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """(start, end) of tokens of `LEAST` characters with digits that overlap no base span."""
-    end, k = 0, 0
+    """(start, end) of tokens of `LEAST` characters with digits; a token ends where a base span begins."""
+    reach = list(accumulate((b for _, b in taken), max))
+    end = 0
     for found in NUMBER.finditer(text):
-        if found.start() < end:
-            continue
         start = found.start()
-        while start > end and TOKEN.match(text[start - 1]):
-            start -= 1
-        end = TOKEN.match(text, found.start()).end()
-        while k < len(taken) and taken[k][1] <= start:
-            k += 1
-        if k < len(taken) and taken[k][0] < end:
+        k = bisect_left(taken, (start + 1,))  # spans that start no later
+        behind = max(end, reach[k - 1] if k else 0)
+        if behind >= found.end():
             continue
-        split = max(text.rfind("=", start, found.start()), text.rfind(":", start, found.start())) + 1
+        start = digit = max(start, behind)
+        while start > behind and TOKEN.match(text[start - 1]):
+            start -= 1
+        end = TOKEN.match(text, digit, taken[k][0] if k < len(taken) else len(text)).end()
+        split = max(text.rfind("=", start, digit), text.rfind(":", start, digit)) + 1
         first = max(start, split)
         last = first + len(text[first:end].rstrip(".:!?="))
         if last - first >= LEAST:
@@ -238,7 +237,7 @@ def candidates(text: str | None, base: list[Span]) -> list[tuple[str, int, int,
     out = []
     for first, last, name in sorted(tokens):
         token, before = text[first:last], text[max(0, first - SEEN) : first]
-        kind = "name" if name else "iban" if iban(token[:64]) else "ssn" if SSN.match(token) else "secret"
+        kind = "name" if name else "iban" if iban(token) else "ssn" if SSN.match(token) else "secret"
         out.append((kind, first, last, signature(token, before)))
     return out
 
