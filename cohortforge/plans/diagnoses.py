@@ -97,10 +97,22 @@ def from_source(df: DataFrame, source: str) -> DataFrame:
     return df.where(F.col("source") == source).select(*FIVE_KEYS).distinct()
 
 
+@stage("Encounter diagnoses with their codes", stored=True, sets=False)
+def encounter_dx_coded(s: Study) -> DataFrame:
+    """Read by two of the load steps."""
+    return coded_dx(s, encounter_dx(s))
+
+
+@stage("Final account diagnoses with their codes", stored=True, sets=False)
+def account_dx_coded(s: Study) -> DataFrame:
+    """Read by three of the load steps."""
+    return coded_dx(s, account_dx(s))
+
+
 @stage("Diagnoses initial load")
 def dx_primary(s: Study) -> DataFrame:
     empty = [F.lit(None).cast("string").alias(name) for name in FLAGS[1:]]
-    return from_source(coded_dx(s, encounter_dx(s)), "primary").select(
+    return from_source(s("encounter_dx_coded"), "primary").select(
         *FIVE_KEYS, F.lit("P").alias(FLAGS[0]), *empty
     )
 
@@ -110,7 +122,7 @@ def dx_add_secondary(s: Study) -> DataFrame:
     """The key leaves out the code type: a primary row of either edition wins."""
     return upsert(
         s("dx_primary"),
-        from_source(coded_dx(s, encounter_dx(s)), "secondary"),
+        from_source(s("encounter_dx_coded"), "secondary"),
         FOUR_KEYS,
         on_insert={"primary_sec_flag": F.lit("S")},
     )
@@ -126,21 +138,21 @@ def dx_upsert_admit(s: Study) -> DataFrame:
 @stage("Load final account dx, line 1")
 def dx_upsert_final_primary(s: Study) -> DataFrame:
     final = {"hsp_final_dx_flag": F.lit("1"), "primary_sec_flag": F.lit("P")}
-    source = from_source(coded_dx(s, account_dx(s)), "final_first")
+    source = from_source(s("account_dx_coded"), "final_first")
     return upsert(s("dx_upsert_admit"), source, FIVE_KEYS, final, final)
 
 
 @stage("Load final account dx, line 2 to end")
 def dx_upsert_final_secondary(s: Study) -> DataFrame:
     final = {"hsp_final_dx_flag": F.lit("1")}
-    source = from_source(coded_dx(s, account_dx(s)), "final_rest")
+    source = from_source(s("account_dx_coded"), "final_rest")
     added = {**final, "primary_sec_flag": F.lit("S")}
     return upsert(s("dx_upsert_final_primary"), source, FIVE_KEYS, final, added)
 
 
 @stage("Update the present-on-admission flag")
 def dx_flag_poa(s: Study) -> DataFrame:
-    present = coded_dx(s, account_dx(s)).where("present")
+    present = s("account_dx_coded").where("present")
     target = s("dx_upsert_final_secondary")
     return flag_exists(target, present, FIVE_KEYS, "poa_flag", F.lit("Y"))
 

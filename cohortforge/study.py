@@ -32,6 +32,7 @@ class Stage:
     stored: bool  # written once, as other stages or the ledger read it
     parts: Callable[[], dict[str, Column]] | None  # of its rows, counted apart
     by: str  # the key that a store with buckets deals its rows out by
+    sets: bool  # of its people, kept beside its rows
 
 
 REGISTERED: dict[str, Stage] = {}
@@ -44,12 +45,13 @@ def stage(
     stored: bool = False,
     parts: Callable[[], dict[str, Column]] | None = None,
     by: str = PERSON,
+    sets: bool = True,
 ) -> Callable[[StageFunction], StageFunction]:
     """Register a stage function under its own name, with its ledger note."""
 
     def register(function: StageFunction) -> StageFunction:
         name = function.__name__
-        REGISTERED[name] = Stage(function, note, stored, parts, by)
+        REGISTERED[name] = Stage(function, note, stored, parts, by, sets)
         STAGES[name] = function
         NOTES[name] = note
         return function
@@ -123,7 +125,8 @@ class Study:
             if self.store is not None and REGISTERED[name].stored:
                 key = REGISTERED[name].by
                 by = key if key in df.columns else None
-                df = self.store.save(df, name, self.version(name), self._sets_of(name, df), by)
+                sets = self._sets_of(name, df) if REGISTERED[name].sets else None
+                df = self.store.save(df, name, self.version(name), sets, by)
             self._built[name] = df
         return self._built[name]
 
@@ -156,7 +159,8 @@ class Study:
         names = list(names)
         for name in names:
             self(name)
-        kept = [n for n in names if self.store is not None and n in self.store.stored and n in self._versions]
+        stored = {} if self.store is None else self.store.stored
+        kept = [n for n in names if n in stored and n in self._versions and REGISTERED[n].sets]
         out = self.store.people(kept) if kept else None
         for name in names:
             if name not in kept:
