@@ -42,18 +42,26 @@ def first_dx_date(s: Study) -> DataFrame:
     return first_event(dx, "pat_id", "contact_date", out="first_hiv_date")
 
 
-@stage("Results of the listed laboratory codes", stored=True)
-def coded_lab_pull(s: Study) -> DataFrame:
-    """The coded components are resolved first; a whitespace-only result is no text."""
-    cfg = s.cfg
+@stage("Components of the listed laboratory codes", stored=True)
+def coded_components(s: Study) -> DataFrame:
+    """Stored, so that their size is known where the results meet them."""
     codes = s.src("lnc_db_main").select(F.col("record_id").alias("default_lnc_id"), "lnc_code")
-    components = (
+    return (
         s.src("clarity_component")
         .join(codes, "default_lnc_id", "left")
         .withColumn("loinc", F.coalesce("lnc_code", "loinc_code"))
         .join(s("lab_rule_driver"), "loinc")
         .select("component_id", F.col("name").alias("component_name"), "common_name", "step")
     )
+
+
+@stage("Results of the listed laboratory codes", stored=True)
+def coded_lab_pull(s: Study) -> DataFrame:
+    """Results meet their orders first: few are left for the other joins.
+
+    A whitespace-only result is no text.
+    """
+    cfg = s.cfg
     orders = (
         s.src("order_proc")
         .where(F.col("order_type_c").isin(*cfg.cohort_lab_types))
@@ -73,9 +81,9 @@ def coded_lab_pull(s: Study) -> DataFrame:
     results = s.src("order_results").where("ord_value is not null").drop("pat_id", "result_time")
     specimens = s.src("order_proc_2").select("order_proc_id", "specimn_taken_time")
     pulled = (
-        results.join(components, "component_id")
-        .join(orders, "order_proc_id")
+        results.join(orders, "order_proc_id")
         .join(specimens, "order_proc_id")
+        .join(s("coded_components"), "component_id")
         .join(s.src("patient").select("pat_id"), "pat_id", "left_semi")
     )
     harm = harmonize_numeric(F.col("ord_value"), F.col("ord_num_value"), cfg.strict_decimals)

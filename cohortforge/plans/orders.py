@@ -21,6 +21,8 @@ def order_procedures(s: Study) -> DataFrame:
         .where(wanted)
         .transform(among, s("cohort"), "pat_id")
     )
+    # the procedures are a long list: orders meet it, not their results
+    orders = decode(orders, s.src("clarity_eap"), "proc_id", "proc_id", "proc_name", "proc_name")
     results = (
         s.src("order_results")
         .transform(windowed, "result_time", cfg)
@@ -42,7 +44,6 @@ def order_procedures(s: Study) -> DataFrame:
         s.src("order_rad_acc_num").select("order_proc_id", "acc_num"), "order_proc_id", "left"
     )
     for on, table, code, alias, value in (
-        ("proc_id", "clarity_eap", "proc_id", "proc_name", "proc_name"),
         ("component_id", "clarity_component", "component_id", "component_name", "name"),
         ("order_type_c", "zc_order_type", "order_type_c", "order_type", "name"),
         ("specimen_type_c", "zc_specimen_type", "specimen_type_c", "specimen_type", "name"),

@@ -36,9 +36,26 @@ def all_medications(s: Study) -> DataFrame:
         F.col("abbr").alias("route_abbreviation"),
     )
     frequency = s.src("ip_frequency").select(F.col("freq_id").alias("hv_discr_freq_id"), "freq_name")
+    used = resolve_medication(
+        F.col("medication_id"),
+        F.col("dispensable_med_id"),
+        F.col("user_sel_med_id"),
+        cfg.placeholder_medication,
+    )
+    drugs = s.src("clarity_medication").select(
+        F.col("medication_id").alias("used_med_id"),
+        "pharm_class_c",
+        "thera_class_c",
+        "pharm_subclass_c",
+        F.col("name").alias("medication_name"),
+        "generic_name",
+    )
+    # the short lists come last: their texts are not shuffled
     df = (
         orders.join(info, "order_med_id", "left")
         .join(given, "order_med_id", "left")
+        .withColumn("used_med_id", used)
+        .join(drugs, "used_med_id", "left")
         .join(routes, "route_c", "left")
         .join(frequency, "hv_discr_freq_id", "left")
     )
@@ -51,22 +68,7 @@ def all_medications(s: Study) -> DataFrame:
         ("order_class_c", "zc_order_class", "order_class_c", "order_class"),
     ):
         df = decode(df, s.src(table), on, code, alias)
-    used = resolve_medication(
-        F.col("medication_id"),
-        F.col("dispensable_med_id"),
-        F.col("user_sel_med_id"),
-        cfg.placeholder_medication,
-    )
-    drugs = s.src("clarity_medication").select(
-        F.col("medication_id").alias("used_med_id"),
-        "pharm_class_c",
-        "thera_class_c",
-        "pharm_subclass_c",
-        F.col("name").alias("medication_name"),
-        "generic_name",
-    )
-    df = with_drug_classes(s, df.withColumn("used_med_id", used).join(drugs, "used_med_id", "left"))
-    return df.select(
+    return with_drug_classes(s, df).select(
         "pat_id",
         "pat_enc_csn_id",
         "order_med_id",
@@ -139,20 +141,17 @@ def all_labs(s: Study) -> DataFrame:
             "order_type_c",
         )
     )
-    results = (
-        s.src("order_results")
-        .where("ord_value is not null")
-        .drop("result_time")
-        .transform(among, s("cohort"), "pat_id")
-    )
+    results = s.src("order_results").where("ord_value is not null").drop("result_time")
     components = s.src("clarity_component").select(
         "component_id", F.col("name").alias("component_name"), "common_name"
     )
     specimens = s.src("order_proc_2").select("order_proc_id", "specimn_taken_time")
+    # the orders leave few results to be dealt out by person
     df = (
-        results.join(components, "component_id")
-        .join(orders, "order_proc_id")
+        results.join(orders, "order_proc_id")
         .join(specimens, "order_proc_id", "left")
+        .transform(among, s("cohort"), "pat_id")
+        .join(components, "component_id")
     )
     harm = harmonize_numeric(F.col("ord_value"), F.col("ord_num_value"), cfg.strict_decimals)
     return df.select(
