@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,9 +82,25 @@ def flag_exists(
 
 
 def merge_flags(df: DataFrame, keys: list[str], marks: dict[str, Column]) -> DataFrame:
-    """Per key, whether any row carries each mark; one shuffle, reduced map-side."""
-    seen = [F.max(F.coalesce(mark, F.lit(False))).alias(name) for name, mark in marks.items()]
-    return df.groupBy(*keys).agg(*seen)
+    """Per key, whether any row carries each mark; one shuffle, reduced map-side.
+
+    Marks travel as the bits of longs, up to 63 in each, not as a column each.
+    """
+    words = [list(marks.items())[k : k + 63] for k in range(0, len(marks), 63)]
+    packed = {
+        f"_marks{w}": reduce(
+            Column.__add__, (F.when(mark, F.lit(1 << k)).otherwise(0).cast("long") for k, (_, mark) in enumerate(word))
+        )
+        for w, word in enumerate(words)
+    }
+    merged = df.select(*keys, *(bits.alias(name) for name, bits in packed.items()))
+    merged = merged.groupBy(*keys).agg(*(F.bit_or(name).alias(name) for name in packed))
+    seen = [
+        F.col(f"_marks{w}").bitwiseAND(F.lit(1 << k).cast("long")).__ne__(0).alias(name)
+        for w, word in enumerate(words)
+        for k, (name, _) in enumerate(word)
+    ]
+    return merged.select(*keys, *seen)
 
 
 def table_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
