@@ -1,6 +1,7 @@
 from cohortforge.operators.contracts import Field, accepted, enforced, judged, rejected
 from cohortforge.operators.events import (
     among,
+    among_dealt,
     exclude,
     first_event,
     label_cohort,
@@ -21,6 +22,7 @@ __all__ = [
     "Field",
     "accepted",
     "among",
+    "among_dealt",
     "apply_selection",
     "check_private",
     "code_map",

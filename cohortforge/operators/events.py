@@ -108,3 +108,14 @@ def among(df: DataFrame, people: DataFrame, key: str) -> DataFrame:
     """
     ids = people.where(F.col(key) >= "").select(key)
     return df.join(ids, key, "left_semi")
+
+
+def among_dealt(df: DataFrame, people: DataFrame, key: str, by: str) -> DataFrame:
+    """`among` for rows that are dealt out by `by`, of which a person has few: they stay there.
+
+    The pairs of both keys go to the people and back, not the rows. They meet the rows in an inner
+    join, as Spark moves a semi-join before the joins that the rows come from. `by` must not be
+    NULL, as after an inner join on it: such rows are left out.
+    """
+    pairs = among(df.select(by, key).distinct(), people, key).repartition(by)
+    return df.join(pairs, [by, key]).select(*df.columns)

@@ -15,7 +15,9 @@ def review_list(df: DataFrame, cols: list[str], out: str = "total") -> DataFrame
 
 def apply_selection(df: DataFrame, driver: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys were chosen; repeats in the driver do not multiply rows."""
-    return df.join(driver.select(*keys), keys, "left_semi")
+    # holds for every row: Spark makes a Bloom filter for a long `df` where the other side has a comparison
+    chosen = driver.where(F.xxhash64(*keys) >= F.lit(-(1 << 63)))
+    return df.join(chosen.select(*keys), keys, "left_semi")
 
 
 def tagged_union(parts: list[tuple[int, DataFrame]], tag: str) -> DataFrame:

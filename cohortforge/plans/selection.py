@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions import harmonize_numeric, resolve_medication, trimmed, windowed
-from cohortforge.operators import among, apply_selection, decode, review_list
+from cohortforge.operators import among, among_dealt, apply_selection, decode, review_list
 from cohortforge.plans.cohort import RESULT_COLUMNS
 from cohortforge.study import Study, stage
 
@@ -146,11 +146,11 @@ def all_labs(s: Study) -> DataFrame:
         "component_id", F.col("name").alias("component_name"), "common_name"
     )
     specimens = s.src("order_proc_2").select("order_proc_id", "specimn_taken_time")
-    # the orders leave few results to be dealt out by person
+    # tables dealt out by order stay so to the end: only pairs of order and person are shuffled
     df = (
         results.join(orders, "order_proc_id")
         .join(specimens, "order_proc_id", "left")
-        .transform(among, s("cohort"), "pat_id")
+        .transform(among_dealt, s("cohort"), "pat_id", "order_proc_id")
         .join(components, "component_id")
     )
     harm = harmonize_numeric(F.col("ord_value"), F.col("ord_num_value"), cfg.strict_decimals)
