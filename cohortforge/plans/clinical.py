@@ -125,11 +125,9 @@ def problem_list(s: Study) -> DataFrame:
     specialties = s.src("v_cube_d_provider").select(
         F.col("provider_id").alias("prov_id"), "primary_specialty"
     )
-    df = (
-        problems.join(visits, "pat_enc_csn_id")
-        .join(staff, "entry_user_id", "left")
-        .join(specialties, "prov_id", "left")
-    )
+    # staff meet their specialties first: the problems are shuffled for one of the lists
+    staff = staff.join(specialties, "prov_id", "left")
+    df = problems.join(visits, "pat_enc_csn_id").join(staff, "entry_user_id", "left")
     df = decode(
         df, s.src("zc_problem_status"), "problem_status_c", "problem_status_c", "problem_status"
     )
