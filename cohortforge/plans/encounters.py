@@ -10,11 +10,7 @@ from cohortforge.study import Study, stage
 
 @stage("Encounters", stored=True)
 def encounters(s: Study) -> DataFrame:
-    visits = (
-        s.src("pat_enc")
-        .transform(windowed, "effective_date_dt", s.cfg)
-        .transform(among, s("cohort"), "pat_id")
-    )
+    visits = s.src("pat_enc").transform(windowed, "effective_date_dt", s.cfg)
     stays = s.src("pat_enc_hsp").select("pat_enc_csn_id", "disch_disp_c", "ed_disposition_c")
     places = s.src("clarity_dep").select(
         "department_id", "department_name", "specialty", "rev_loc_id"
@@ -22,8 +18,10 @@ def encounters(s: Study) -> DataFrame:
     visit_kinds = s.src("clarity_prc").select(
         F.col("prc_id").alias("appt_prc_id"), "proc_cat", "prc_name"
     )
+    # stays come before people: both tables may be dealt out by encounter
     df = (
         visits.join(stays, "pat_enc_csn_id", "left")
+        .transform(among, s("cohort"), "pat_id")
         .join(places, "department_id", "left")
         .join(visit_kinds, "appt_prc_id", "left")
     )
