@@ -58,8 +58,9 @@ def lab_rule_driver(s: Study) -> DataFrame:
     return s.src("lab_rule_list").where("loinc <> ''").select("loinc", "step").distinct()
 
 
-@stage("Chosen medications")
+@stage("Chosen medications", stored=True)
 def med_selection_driver(s: Study) -> DataFrame:
+    """Stored, so that its size is known where the orders meet it."""
     return s.src("med_selection_list")
 
 

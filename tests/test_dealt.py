@@ -106,3 +106,32 @@ def test_problems_are_shuffled_for_one_list_of_staff(spark, sf_dir, shuffled):
     plan = STAGES["problem_list"](s)._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join LeftOuter" in line and ("prov_id" in line or "entry_user_id" in line)]
     assert [("entry_user_id" in line) for line in joins] == [True, False]
+
+
+def test_chosen_medications_are_a_stored_list(spark, sf_dir, tmp_path):
+    """Of a stored list Spark knows the size: the orders are not shuffled to meet a short one."""
+    from cohortforge.sources import StageStore
+    from cohortforge.study import Study
+    from testbed.sources import CONFIG
+
+    s = Study(ViewSources(spark, sf_dir), CONFIG, StageStore(spark, str(tmp_path)))
+    assert all("-med_selection_driver/" in f for f in s("med_selection_driver").inputFiles())
+    assert s("med_selection_driver").exceptAll(s.src("med_selection_list")).count() == 0
+
+
+def test_studies_that_share_a_store_keep_their_own_counts(spark, tmp_path):
+    """A study made by a choice saves other versions of stages: the first one's counts stay."""
+    from cohortforge import sources as S
+    from cohortforge.study import Study
+    from testbed.sources import CONFIG
+
+    def made(rows, people):
+        spark.createDataFrame([(k, "d", 1, "c") for k in range(rows)], S.LAB_SELECTION).write.parquet(f"{tmp_path}/{rows}/lab_selection_list")
+        everyone = spark.createDataFrame([(f"p{k}", k) for k in range(people)], "pat_id string, ethnic_group_c int")
+        everyone.write.parquet(f"{tmp_path}/{rows}/patient")
+        return Study(S.from_parquet(spark, f"{tmp_path}/{rows}"), CONFIG, store)
+
+    store = S.StageStore(spark, str(tmp_path))
+    first, second = made(5, 3), made(8, 4)
+    assert first.rows("lab_selection_driver") == 5 and second.rows("lab_selection_driver") == 8
+    assert first.rows("lab_selection_driver") == 5
