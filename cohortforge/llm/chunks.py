@@ -57,6 +57,22 @@ class ChunkMemory:
         if missing:
             new.update(zip(missing, self.encode(missing)))
 
+    def each(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each of some distinct chunks, in one pass over those that are known."""
+        if len(self.new) > self.kept:
+            self.old, self.new = self.new, {}
+        out = list(map(self.new.get, chunks))
+        at = [k for k, known in enumerate(out) if known is None]
+        if at:
+            missing = [chunks[k] for k in at]
+            found = list(map(self.old.get, missing))
+            fresh = iter(self.encode([c for c, known in zip(missing, found) if known is None]))
+            found = [next(fresh) if known is None else known for known in found]
+            self.new.update(zip(missing, found))
+            for k, known in zip(at, found):
+                out[k] = known
+        return out
+
     def ids(self, chunks: list[str]) -> bytes:
         """The ids of learnt chunks, in order."""
         return b"".join(map(self.new.__getitem__, chunks))

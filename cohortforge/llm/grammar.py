@@ -34,8 +34,7 @@ MAGIC = b"repair01"
 END = 0  # the id that ends a document
 SHARD = 1_500_000  # tokens after which a shard is closed; a document is never split
 FREQUENT = 64  # occurrences from which a pair is replaced
-TOGETHER = 4000  # words joined for a call of the library
-GATHERED = 50_000  # words whose ids are put together at once
+TOGETHER = 100  # words joined for a call of the library, which takes a half longer for each in texts of thousands
 BINS = 20  # bits of the hash bins that pairs are counted in, at most
 SLICE = 8 << 20  # bytes of text whose distinct chunks are encoded together
 
@@ -61,21 +60,26 @@ class LibraryEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct words, each with a space before it, as bytes.
+    def words(self, words: list[str], before: str = " ") -> list[bytes]:
+        """The ids of words, each with a space (or a line feed) before it, as bytes.
 
         Joined, they encode as they do alone: the library never lets a piece run across a space
-        between two other characters. Where a word's ids end follows from their lengths in bytes.
+        between two other characters, nor across one line feed. Where a word's ids end follows from
+        their lengths in bytes.
         """
-        out = []
-        for at in range(0, len(words), TOGETHER):
-            part = words[at : at + TOGETHER]
-            ids = self.whole([" " + " ".join(part)])[0]
-            sizes = pc.binary_length(pa.array(part, pa.string())).to_numpy().astype(np.int64)
-            places = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes + 1)) + 1
-            data, ends = ids.tobytes(), (4 * places).tolist()
-            out += [data[a:b] for a, b in zip([0, *ends], ends)]
-        return out
+        parts = (before + before.join(words[at : at + TOGETHER]) for at in range(0, len(words), TOGETHER))
+        ids = np.concatenate([np.empty(0, "<u4"), *(self.whole([part])[0] for part in parts)])
+        sizes = pc.binary_length(pa.array(words, pa.large_string())).to_numpy().astype(np.int64)
+        places = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes + 1)) + 1
+        data, ends = ids.tobytes(), (4 * places).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def alone(self, words: list[str]) -> list[bytes]:
+        """The ids of words with nothing before them. A line feed, of one id, sets them apart where it can."""
+        plain = [bool(w) and not w[0].isspace() and not w[-1].isspace() for w in words]
+        others = iter(self.whole([w for w, p in zip(words, plain) if not p]))
+        mine = iter(self.words([w for w, p in zip(words, plain) if p], "\n"))
+        return [next(mine)[4:] if p else next(others).tobytes() for p in plain]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """All ids of each text. Texts with other white space, or special tokens, go to the library whole."""
@@ -92,28 +96,21 @@ class LibraryEncoder:
             return
         coded = words.dictionary_encode()
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        distinct = coded.dictionary.to_pylist()
-        # only the first word of a text can be empty or start with a line feed
-        later = [w if w and w[0] != "\n" else "." for w in distinct]
-        self.memory.learn(set(later))
+        # no word holds a space: one text for all of them is cut faster than each is copied
+        together = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        distinct = pc.binary_join(together, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")
         first = starts[:-1]
-        alone = self.whole(words.take(pa.array(first)).to_pylist())
-        known = [*map(self.memory.new.__getitem__, later), *(a.tobytes() for a in alone)]
+        alone = self.alone(words.take(pa.array(first)).to_pylist())
+        # only the first word of a text can be empty or start with a line feed
+        later = [w for w in distinct if w and w[0] != "\n"]
+        known = iter(self.memory.each(later))
+        known = [*(next(known) if w and w[0] != "\n" else b"" for w in distinct), *alone]
         which[first] = len(distinct) + np.arange(len(first))
-        ids = np.frombuffer(b"".join(known), "<u4")
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        begin = np.cumsum(sizes) - sizes
-        low = 0
-        while low < len(first):  # some texts at a time, so the arrays stay in the cache
-            high = max(low + 1, int(np.searchsorted(starts, starts[low] + GATHERED, "right")) - 1)
-            own = which[starts[low] : starts[high]]
-            length = sizes[own]
-            ends = np.cumsum(length)
-            out = ids[np.repeat(begin[own] - (ends - length), length) + np.arange(ends[-1])]
-            bounds = np.concatenate([[0], ends])[starts[low : high + 1] - starts[low]]
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                yield out[a:b]
-            low = high
+        taken = pa.array(known, pa.large_binary()).take(pa.array(which))
+        ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1) // 4
+        ids = np.frombuffer(taken.buffers()[2] or b"", "<u4", int(ends[-1]))
+        bounds = ends[starts].tolist()
+        yield from (ids[a:b] for a, b in zip(bounds, bounds[1:]))
 
 
 def winners(close: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -202,9 +199,12 @@ def compress(ids: np.ndarray, starts: np.ndarray, terminals: int) -> tuple[np.nd
 
 def lengths_of(rules: np.ndarray, terminals: int) -> np.ndarray:
     """How many tokens each rule expands to; a rule refers to earlier ones only."""
-    out = np.ones(terminals + len(rules), np.int64)
-    for k, (a, b) in enumerate(rules.tolist()):
-        out[terminals + k] = out[a] + out[b]
+    out, k = np.ones(terminals + len(rules), np.int64), 0
+    while k < len(rules):  # together, the rules that refer to none of each other
+        known = (rules[k:] < terminals + k).all(axis=1)
+        stop = len(rules) if known.all() else k + int(np.argmin(known))
+        out[terminals + k : terminals + stop] = out[rules[k:stop]].sum(axis=1)
+        k = stop
     return out[terminals:]
 
 

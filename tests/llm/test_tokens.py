@@ -54,6 +54,33 @@ def test_texts_encoded_together_do_not_touch(library, encoder, texts):
     assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_the_library_gets_words_in_short_texts(library, tokenizer_path, monkeypatch):
+    """It takes longer for a word in a text of thousands, and for a text of one word."""
+    encoder, given = grammar.LibraryEncoder(tokenizer_path), []
+    whole = encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda texts: (given.extend(texts), whole(texts))[1])
+    texts = [f"'s{k}\n, first {k}é of. {k}\n these{k}," for k in range(1500)]
+    found = encoder.encode(texts)
+    assert [f.tolist() for f in found] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert max(len(t.split()) for t in given) <= 200 and len(given) < len(texts) / 10
+
+
+def test_each_chunk_is_encoded_once_and_kept_for_two_generations():
+    encoded = []
+    memory = ChunkMemory(lambda chunks: (encoded.extend(chunks), [c.encode() for c in chunks])[1], kept=10)
+    for k in range(200):
+        chunks = [f"{k}-{j}" for j in range(7)] + ["same"]
+        assert memory.each(chunks) == [c.encode() for c in chunks]
+        assert len(memory.new) <= 18 and len(memory.old) <= 18
+    assert memory.each([]) == [] and len(encoded) == 7 * 200 + 1
+
+
+def test_lengths_of_rules_that_refer_to_others():
+    rules = np.array([[0, 1], [5, 2], [5, 5], [6, 7], [3, 3], [8, 9]])
+    assert grammar.lengths_of(rules, 5).tolist() == [2, 3, 4, 7, 2, 9]
+    assert grammar.lengths_of(rules[:0], 5).tolist() == []
+
+
 @pytest.mark.parametrize("text", ["a" * 5000, "ab" * 3000, "!" * 999, " " * 3000, "é" * 999, "theonand" * 500])
 def test_long_words(library, own, text):
     assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
