@@ -99,14 +99,19 @@ def rule_counts(
     return counted.where("events > 0 or people > 0").select("kind", names, "events", "people")
 
 
+# no key of the type is less
+LOWEST = {"string": "", "long": -(1 << 63), "integer": -(1 << 31)}
+
+
 def among(df: DataFrame, people: DataFrame, key: str) -> DataFrame:
-    """Rows of the people listed, pruned before they are shuffled.
+    """Rows of the people (or orders) listed, pruned before they are shuffled.
 
-    Few people are broadcast. For more, Spark puts a Bloom filter of their keys into the scan of
+    Few keys are broadcast. For more, Spark puts a Bloom filter of them into the scan of
     `df`, and the semi-join behind it is exact; it does so where that side has a comparison, and
     this one holds for every key. `session.configure` sets from which sizes on.
     """
-    ids = people.where(F.col(key) >= "").select(key)
+    lowest = LOWEST.get(people.schema[key].dataType.typeName())
+    ids = people.select(key) if lowest is None else people.where(F.col(key) >= F.lit(lowest)).select(key)
     return df.join(ids, key, "left_semi")
 
 

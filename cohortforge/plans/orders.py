@@ -99,7 +99,7 @@ def comments(s: Study, order_type: int, prefix: str) -> DataFrame:
         (1, "order_res_comp_cmt", "line_comp", "results_comp_cmt"),
         (2, "order_res_comment", "line", "results_cmt"),
     ):
-        part = s.src(table).where(has_text(F.col(text))).join(orders, "order_id", "left_semi")
+        part = s.src(table).where(has_text(F.col(text))).transform(among, orders, "order_id")
         parts.append(
             (
                 mark,
@@ -150,8 +150,10 @@ def imaging_orders(s: Study) -> DataFrame:
 
 
 def report_lines(s: Study, table: str, text: str, prefix: str) -> DataFrame:
-    orders = s("imaging_orders").select("pat_id", "acc_num", "order_proc_id").distinct()
-    lines = s.src(table).where(has_text(F.col(text)))
+    """Report lines of the imaging orders; texts of other orders are left out before a shuffle."""
+    orders = s("imaging_orders").select("pat_id", "acc_num", "order_proc_id")
+    lines = s.src(table).where(has_text(F.col(text))).transform(among, orders, "order_proc_id")
+    orders = orders.distinct()
     return (
         lines.join(orders, "order_proc_id")
         .select(
