@@ -21,44 +21,62 @@ def upsert(
     Source columns beyond `keys` are inserted under their own name.
 
     Two unequal source rows for a row of the target leave open which updates it: the job stops
-    there, naming the key. The count that shows it shares the join's shuffle. Source rows whose key
-    the target lacks are all inserted, and a key with a NULL matches nothing.
+    there, naming the key. Source rows whose key the target lacks are all inserted, and a key with
+    a NULL matches nothing.
+
+    Both tables' rows meet in one list, whose rows stay dealt out as they are: of a chain of
+    upserts, with sources dealt out alike, the target is shuffled once and not at each step.
     """
     on_match, on_insert = on_match or {}, on_insert or {}
     types = {f.name: f.dataType for f in target.schema.fields}
-    extra = [c for c in source.columns if c not in keys]
-    incoming = source.distinct().withColumn("_new", F.lit(True))
-    incoming = incoming.select(*keys, "_new", *(F.col(c).alias(f"_new_{c}") for c in extra))
-
+    extra = [f for f in source.schema.fields if f.name not in keys]
     if not on_match and extra:
         # insert only: the key may repeat on either side
         return _insert_missing(target, source, keys, on_insert)
 
-    if extra:
-        of_key = Window.partitionBy(*keys)
-        incoming = incoming.withColumn("_rows", F.count(F.lit(1)).over(of_key))
-    joined = target.withColumn("_old", F.lit(True)).join(incoming, keys, "full_outer")
+    values = [name for name in types if name not in keys]
+    nothing = [F.lit(None).cast(f.dataType).alias(f"_new_{f.name}") for f in extra]
+    old = target.select(*keys, *values, *nothing, F.lit(True).alias("_old"))
+    new = source.distinct().select(
+        *keys,
+        *(F.lit(None).cast(types[name]).alias(name) for name in values),
+        *(F.col(f.name).alias(f"_new_{f.name}") for f in extra),
+        F.lit(False).alias("_old"),
+    )
+    of_key = Window.partitionBy(*keys)
+    counted = {"_known": _matches(keys) & F.bool_or("_old").over(of_key)}
+    counted["_rows"] = F.when(_matches(keys), F.count_if(~F.col("_old")).over(of_key)).otherwise(0)
+    for f in extra:  # a row of the target has the values of the one row that updates it
+        incoming = F.first(f"_new_{f.name}", ignorenulls=True).over(of_key)
+        incoming = F.when(_matches(keys), incoming)
+        counted[f"_new_{f.name}"] = F.when(F.col("_old"), incoming).otherwise(F.col(f"_new_{f.name}"))
+    joined = old.unionByName(new).withColumns(counted).where("_old or not _known")
     if extra:
         message = F.concat(F.lit("source rows differ for one key: "), F.to_json(F.struct(*keys)))
         unclear = F.col("_old") & (F.col("_rows") > 1)
         joined = joined.where(F.when(unclear, F.raise_error(message).cast("boolean")).otherwise(True))
     out = []
+    named = {f.name for f in extra}
     for name, kind in types.items():
         if name in keys:
             out.append(F.col(name))
             continue
-        added = on_insert.get(name, F.col(f"_new_{name}") if name in extra else F.lit(None))
+        added = on_insert.get(name, F.col(f"_new_{name}") if name in named else F.lit(None))
         kept = F.col(name)
         if name in on_match:
-            kept = F.when(F.col("_new"), on_match[name].cast(kind)).otherwise(kept)
+            kept = F.when(F.col("_rows") > 0, on_match[name].cast(kind)).otherwise(kept)
         out.append(F.when(F.col("_old"), kept).otherwise(added.cast(kind)).alias(name))
     return joined.select(*out)
 
 
+def _matches(keys: list[str]) -> Column:
+    """Whether a key can equal another: it has no NULL."""
+    return reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+
+
 def _insert_missing(
     target: DataFrame, source: DataFrame, keys: list[str], on_insert: dict[str, Column]
 ) -> DataFrame:
-    fresh = source.distinct().join(target.select(*keys), keys, "left_anti")
     columns = []
     for field in target.schema.fields:
         if field.name in source.columns:
@@ -66,7 +84,10 @@ def _insert_missing(
         else:
             value = on_insert.get(field.name, F.lit(None))
         columns.append(value.cast(field.dataType).alias(field.name))
-    return target.unionByName(fresh.select(*columns))
+    fresh = source.distinct().select(*columns, F.lit(False).alias("_old"))
+    known = _matches(keys) & F.bool_or("_old").over(Window.partitionBy(*keys))
+    both = target.withColumn("_old", F.lit(True)).unionByName(fresh).withColumn("_known", known)
+    return both.where("_old or not _known").select(*target.columns)
 
 
 def flag_exists(
@@ -112,25 +133,28 @@ def table_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataF
     the rows. NULL keys are equal to each other. A key that a release has twice stops the job.
     """
     values = [c for c in dict.fromkeys([*before.columns, *after.columns]) if c not in keys]
+    sides = ("before", "after")
 
     def hashed(df: DataFrame, side: str) -> DataFrame:
         known = [F.xxhash64(F.lit(c), c) if c in df.columns else F.xxhash64(F.lit(c), F.lit(None)) for c in values]
-        rows = df.select(*keys, F.array(*known).cast("array<long>").alias("_values"))
-        single = rows.groupBy(*keys).agg(F.any_value("_values").alias(side), F.count(F.lit(1)).alias("_rows"))
+        hashes = {s: known if s == side else [F.lit(None).cast("long")] * len(values) for s in sides}
+        there = [F.lit(int(s == side)).alias(f"_{s}") for s in sides]
+        return df.select(*keys, *there, *(h.alias(f"_{s}_{k}") for s in sides for k, h in enumerate(hashes[s])))
+
+    # both releases in one shuffle: NULL keys are equal there
+    sums = [F.sum(f"_{s}").alias(f"_{s}") for s in sides]
+    held = [F.max(f"_{s}_{k}").alias(f"_{s}_{k}") for s in sides for k in range(len(values))]
+    both = hashed(before, "before").unionByName(hashed(after, "after")).groupBy(*keys).agg(*sums, *held)
+    for side in sides:
         message = F.concat(F.lit(f"a key repeats {side} the change: "), F.to_json(F.struct(*keys)))
-        unique = F.when(F.col("_rows") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-        return single.where(unique).select(*(F.col(k).alias(f"{side}_{k}") for k in keys), side)
-
-    old, new = hashed(before, "before"), hashed(after, "after")
-    same_key = [F.col(f"before_{k}").eqNullSafe(F.col(f"after_{k}")) for k in keys]
-    both = old.join(new, same_key, "full_outer")
+        both = both.where(F.when(F.col(f"_{side}") > 1, F.raise_error(message).cast("boolean")).otherwise(True))
+    differs = [F.col(f"_before_{k}") != F.col(f"_after_{k}") for k in range(len(values))]
     change = (
-        F.when(F.col("before").isNull(), "inserted")
-        .when(F.col("after").isNull(), "deleted")
-        .when(F.col("before") != F.col("after"), "updated")
+        F.when(F.col("_before") == 0, "inserted")
+        .when(F.col("_after") == 0, "deleted")
+        .when(reduce(Column.__or__, differs, F.lit(False)), "updated")
     )
-    differs = [F.when(F.col("before")[k] != F.col("after")[k], F.lit(c)) for k, c in enumerate(values)]
-    columns = F.when(F.col("change") == "updated", F.array_compact(F.array(*differs).cast("array<string>")))
-    named = [F.coalesce(f"after_{k}", f"before_{k}").alias(k) for k in keys]
+    named = F.array(*(F.when(differ, F.lit(c)) for differ, c in zip(differs, values))).cast("array<string>")
+    columns = F.when(F.col("change") == "updated", F.array_compact(named))
     changed = both.withColumn("change", change).where("change is not null")
-    return changed.select(*named, "change", columns.alias("columns"))
+    return changed.select(*keys, "change", columns.alias("columns"))

@@ -93,8 +93,13 @@ def coded_dx(s: Study, *parts: DataFrame) -> DataFrame:
     return rows.where(F.col("adult") | primary9).select(*FIVE_KEYS, "source", "present")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Keys dealt out by those that all load steps share, so that no step shuffles the table again."""
+    return df.select(*FIVE_KEYS).repartition(*FOUR_KEYS).distinct()
+
+
 def from_source(df: DataFrame, source: str) -> DataFrame:
-    return df.where(F.col("source") == source).select(*FIVE_KEYS).distinct()
+    return dealt(df.where(F.col("source") == source))
 
 
 @stage("Diagnoses initial load")
@@ -140,7 +145,7 @@ def dx_upsert_final_secondary(s: Study) -> DataFrame:
 
 @stage("Update the present-on-admission flag")
 def dx_flag_poa(s: Study) -> DataFrame:
-    present = coded_dx(s, account_dx(s)).where("present")
+    present = dealt(coded_dx(s, account_dx(s)).where("present"))
     target = s("dx_upsert_final_secondary")
     return flag_exists(target, present, FIVE_KEYS, "poa_flag", F.lit("Y"))
 
