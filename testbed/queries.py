@@ -425,6 +425,7 @@ def q_release_changes(s, spark):
     """What the later load steps and a narrower rule change in the diagnosis table."""
     keys = ["pat_id", "pat_enc_csn_id", "contact_date", "icd_code", "icd_type"]
     later = s("diagnosis_fact").where("admit_dx_flag is null or poa_flag is null")
+    later = later.repartition(*keys[:4])  # as the load steps deal their rows out: these are not shuffled again
     changes = O.table_changes(s("dx_upsert_admit"), later, keys)
     return changes.withColumn("columns", F.array_join("columns", ","))
 
