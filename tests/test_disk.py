@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortforge.llm import collocations
 from cohortforge.sources import StageStore
+from testbed import sources
 
 
 def shuffled_through(spark, act) -> int:
@@ -59,3 +60,14 @@ def test_collocations_keep_one_relation_and_no_old_shuffles(spark, monkeypatch):
         spark.conf.set(name, before)
     assert collocations.seen == [(2, "true", 1), (3, "true", 1)] and len(dropped) == 2
     assert [r["phrase"] for r in found if r["a"] == 30]
+
+
+def test_short_tables_are_not_dealt_out(spark, sf_dir, monkeypatch):
+    """Views of tables that would not fill the buckets read them as they are."""
+    for least, dealt in ((sources.LEAST_BUCKETS, False), (0, True)):
+        monkeypatch.setattr(sources, "_studies", {})
+        monkeypatch.setattr(sources, "LEAST_BUCKETS", least)
+        s = sources.study(spark, sf_dir)
+        for name in ("order_results", "pat_enc_dx"):
+            files = s.src(name).inputFiles()
+        assert any("/sources/" in f for f in files) == dealt
