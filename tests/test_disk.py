@@ -64,9 +64,10 @@ def test_collocations_keep_one_relation_and_no_old_shuffles(spark, monkeypatch):
 
 def test_short_tables_are_not_dealt_out(spark, sf_dir, monkeypatch):
     """Views of tables that would not fill the buckets read them as they are."""
-    for least, dealt in ((sources.LEAST_BUCKETS, False), (0, True)):
+    enough = sources.LEAST_BUCKETS * sources.BUCKET_BYTES
+    for size, dealt in ((enough - 1, False), (enough, True)):
         monkeypatch.setattr(sources, "_studies", {})
-        monkeypatch.setattr(sources, "LEAST_BUCKETS", least)
+        monkeypatch.setattr(sources, "input_bytes", lambda spark, sf_dir, size=size: size)
         s = sources.study(spark, sf_dir)
         for name in ("order_results", "pat_enc_dx"):
             files = s.src(name).inputFiles()
